@@ -55,7 +55,7 @@ if __name__ == "__main__":
     import __spark_entry__ as entry
 
     directory = sys.argv[1]
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = [q for q in entry.queries() if not sys.argv[2:] or any(q.startswith(a) for a in sys.argv[2:])]
     session = local_session()
     bad = 0
     for query_name in wanted:
