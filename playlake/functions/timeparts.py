@@ -26,8 +26,8 @@ def start_time(ts_ms: Column, precision: str = "second") -> Column:
 
 def epoch_millis(ts: Column) -> Column:
     """Timestamp without zone to epoch milliseconds, rounded down."""
-    micros = F.timestamp_diff("MICROSECOND", epoch(), ts)
-    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
+    seconds = (ts.cast("timestamp_ntz") - epoch()).cast("interval second").cast("decimal(20,6)")
+    return F.floor(seconds * 1000).cast("bigint")
 
 
 def weekday(start: Column, style: str = "number") -> Column:

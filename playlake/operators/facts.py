@@ -2,12 +2,13 @@
 
 No join is hinted to broadcast: the song side grows with the data, and Spark broadcasts it only after it has measured
 it to be below ``spark.sql.autoBroadcastJoinThreshold``. Beyond that, adaptive execution splits the partition of a title
-that holds much of the plays (``spark.sql.adaptive.skewJoin``), for inner and left joins alike.
+that holds much of the plays; see :func:`playlake.operators.joins.skew_join`.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from playlake.functions.timeparts import start_time
+from playlake.operators.joins import skew_join
 
 # Which play column equals which song column, by match rule.
 MATCH_RULES = {
@@ -19,8 +20,11 @@ MATCH_RULES = {
 
 def song_catalog(songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Songs with the name of their artist, from the two dimensions; a song without an artist row is left out."""
-    names = artists.select("artist_id", F.col("name").alias("artist_name"))
-    return songs.join(names, "artist_id").select("song_id", "artist_id", "title", "artist_name", "duration")
+    names = artists.select(F.col("artist_id").alias("_artist_id"), F.col("name").alias("artist_name"))
+    joined = skew_join(
+        songs.select("song_id", "artist_id", "title", "duration"), names, {"artist_id": "_artist_id"}, "inner"
+    )
+    return joined.select("song_id", "artist_id", "title", "artist_name", "duration")
 
 
 def first_song(catalog: DataFrame, match: str = "exact") -> DataFrame:
@@ -45,8 +49,7 @@ def match_songs(
     rule = MATCH_RULES[match]
     side = first_song(catalog, match) if first_only else catalog
     side = side.select(*[F.col(c).alias(f"_{c}") for c in (*rule.values(), "song_id", "artist_id")])
-    condition = [plays[play] == side[f"_{song}"] for play, song in rule.items()]
-    return plays.join(side, condition, how).select(
+    return skew_join(plays, side, {play: f"_{song}" for play, song in rule.items()}, how).select(
         plays["*"], F.col("_song_id").alias("song_id"), F.col("_artist_id").alias("artist_id")
     )
 

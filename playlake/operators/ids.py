@@ -8,7 +8,11 @@ _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row
 
 
 def spread_ids(df: DataFrame, name: str = "songplay_id") -> DataFrame:
-    """Unique ids with gaps; costs nothing."""
+    """Unique ids with gaps; costs nothing.
+
+    Give them last, right before the write. They follow the order rows reach a task in, which differs when a lost task
+    is run again: a shuffle after them could mix rows of both runs.
+    """
     return df.select(F.monotonically_increasing_id().alias(name), "*")
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from playlake.operators.joins import skew_join
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -83,7 +85,7 @@ def rule_counts(df: DataFrame, rules: Rules) -> DataFrame:
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose reference has no parent row; null references pass."""
     side = parent.select(F.col(key).alias("_key"))
-    return child.filter(F.col(column).isNotNull()).join(side, F.col(column) == F.col("_key"), "left_anti")
+    return skew_join(child.filter(F.col(column).isNotNull()), side, {column: "_key"}, "left_anti")
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:

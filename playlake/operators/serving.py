@@ -25,7 +25,7 @@ def at_positions(df: DataFrame, positions: tuple[int, ...] = CONSOLIDATED_POSITI
 
 
 def serve(
-    events: DataFrame, table: str, order_by: tuple[str, ...] = ARRIVAL, null_keys: str = "drop", arranged: bool = True
+    events: DataFrame, table: str, order_by: tuple[str, ...] = ARRIVAL, null_keys: str = "error", arranged: bool = True
 ) -> DataFrame:
     """The rows of one query-first table, by default range-partitioned and sorted by its key for writing."""
     keys, others = TABLES[table]

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from playlake.operators.joins import skew_join
 from playlake.sinks.files import append_text
 
 
@@ -37,4 +38,5 @@ def write_delete_script(rows: DataFrame, table: str, keys: dict[str, str], path:
 
 def delete_by_keys(table: DataFrame, keys_to_delete: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``table`` that the statements for ``keys_to_delete`` would leave."""
-    return table.join(keys_to_delete.select(*keys).distinct(), keys, "left_anti")
+    gone = keys_to_delete.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    return skew_join(table, gone, {k: f"_{k}" for k in keys}, "left_anti")

@@ -42,8 +42,9 @@ def build_lake(
 
     catalog = read_partitioned(spark, f"{out}/songs", SONGS)
     matched = facts.match_songs(dims.dedupe_rows(dims.plays(events, page)), catalog, "title")
-    songplays = facts.with_year_month(spread_ids(facts.songplay_rows(matched)))
-    write_parquet(songplays, f"{out}/songplays", MONTH_PARTITIONS)
+    rows = facts.with_year_month(facts.songplay_rows(matched)).hint("rebalance", *MONTH_PARTITIONS)
+    songplays = spread_ids(rows)
+    write_parquet(songplays, f"{out}/songplays", MONTH_PARTITIONS, rebalance=False)
 
     return {
         "songs": catalog,

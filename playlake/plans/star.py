@@ -47,9 +47,9 @@ def songplay_facts(plays: DataFrame, catalog: DataFrame, start: int = 1) -> Data
 def build_star(
     spark: SparkSession, song_path: str, log_path: str, out: str, page: str = dims.PLAY_PAGE, object_files: bool = True
 ) -> dict[str, DataFrame]:
-    """Write the five tables below ``out`` and return them as read back, with ``violations`` found on the way.
+    """Write the five tables below ``out`` and return them as read back; dimensions are written before the fact.
 
-    Dimensions come before the fact, and ``violations`` counts broken keys, references and row rules per table.
+    ``violations`` among the returned counts broken keys, references and row rules per table, when it is read.
     """
     read_songs = read_json_objects if object_files else read_json_lines
     songs_raw, _ = split_corrupt(

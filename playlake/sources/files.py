@@ -72,9 +72,14 @@ def read_csv(
     schema: StructType,
     recursive: bool = False,
     name_glob: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV files with a header line each; a quote inside a quoted field is doubled."""
+    """CSV files with a header line each; a quote inside a quoted field is doubled.
+
+    ``multi_line`` allows line breaks inside quoted fields, but then each file is read by one task.
+    """
     reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", True)
+    reader = reader.option("multiLine", multi_line)
     return _discover(reader, recursive, name_glob).csv(path)
 
 

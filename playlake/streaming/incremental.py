@@ -76,12 +76,14 @@ def star_batches(spark: SparkSession, catalog: DataFrame, out: str, page: str =
         upsert_batches(USERS_RULE, f"{out}/users", user_rows)(plays, batch_id)
         times = dims.time_dimension(plays, page, "milli", "name")
         times.write.mode("overwrite").parquet(batch_path(f"{out}/time", batch_id))
+        totals = f"{out}/songplays_so_far"
         before = 0
         if batch_id > 0:
-            earlier = session.read.schema("songplay_id bigint, batch bigint").parquet(f"{out}/songplays")
-            before = earlier.filter(F.col("batch") < batch_id).agg(F.max("songplay_id")).first()[0] or 0
+            before = session.read.parquet(batch_path(totals, batch_id - 1)).first()["n_rows"]
         songplays = songplay_facts(plays, catalog, start=before + 1)
         songplays.write.mode("overwrite").parquet(batch_path(f"{out}/songplays", batch_id))
+        so_far = plays.agg((F.count(F.lit(1)) + before).alias("n_rows"))
+        so_far.write.mode("overwrite").parquet(batch_path(totals, batch_id))
 
     return load
 
