@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from playlake.storage import materialize
+from playlake.storage import materialize, with_place
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row position below
 
@@ -17,20 +17,25 @@ def spread_ids(df: DataFrame, name: str = "songplay_id") -> DataFrame:
 
 
 def serial_ids(
-    df: DataFrame, order_by: list[str], name: str = "songplay_id", start: int = 1, unique: bool = False
+    df: DataFrame,
+    order_by: list[str],
+    name: str = "songplay_id",
+    start: int = 1,
+    unique: bool = False,
+    from_scan: bool = False,
 ) -> DataFrame:
     """Ids ``start, start + 1, ...`` without gaps, in the order of ``order_by``.
 
     The rows are range-partitioned by the order and numbered within each partition; the sizes of the partitions before
     give each partition its offset. No task sees more than one range, and only one row per partition is broadcast.
 
-    Say ``unique`` if no two rows are alike in ``order_by``. Otherwise each row gets a tie-breaker (its place in a
-    written copy), so that a range boundary can fall within a large group of equal rows.
+    Say ``unique`` if no two rows are alike in ``order_by``. Otherwise each row gets a tie-breaker, so that a range
+    boundary can fall within a large group of equal rows; see :func:`playlake.storage.with_place`.
     """
     columns = df.columns
     order = list(order_by)
     if not unique:
-        df = materialize(df, "unnumbered").withColumn("_tie", F.monotonically_increasing_id())
+        df = with_place(df, "_tie", from_scan)
         order.append("_tie")
     slot = F.monotonically_increasing_id()
     ranged = (

@@ -1,5 +1,8 @@
 """Counts, column profiles and samples."""
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
@@ -143,4 +146,6 @@ def lookup(df: DataFrame, **values) -> DataFrame:
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """What ``explain`` prints, as text."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    with io.StringIO() as text, contextlib.redirect_stdout(text):
+        df.explain(mode=mode)
+        return text.getvalue()

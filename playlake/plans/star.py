@@ -37,9 +37,7 @@ def songplay_facts(plays: DataFrame, catalog: DataFrame, start: int = 1) -> Data
     ``plays`` must come from a file scan: a play's place in it breaks ties between plays that are alike. Ids are given
     before the lookup, which keeps one row per play.
     """
-    arrived = plays.withColumn("_arrival", F.monotonically_increasing_id())
-    order = ["ts", "sessionId", "itemInSession", "_arrival"]
-    numbered = serial_ids(arrived, order, start=start, unique=True).drop("_arrival")
+    numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], start=start, from_scan=True)
     matched = facts.match_songs(numbered, catalog, "exact", how="left", first_only=True)
     return facts.songplay_rows(matched, "milli", "songplay_id").select(*STAR["songplays"].names)
 

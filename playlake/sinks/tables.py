@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from playlake.storage import materialize
+from playlake.storage import with_place
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None, replace: bool = False) -> None:
@@ -51,16 +51,22 @@ def insert_select(df: DataFrame, name: str, columns: list[str] | None = None) ->
     ).write.insertInto(name)
 
 
-def arrange(df: DataFrame, keys: list[str], unique: bool = False, partitions: int | None = None) -> DataFrame:
+def arrange(
+    df: DataFrame,
+    keys: list[str],
+    unique: bool = False,
+    from_scan: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
     """Distribute rows by ranges of ``keys`` and sort each partition by them.
 
     With ``unique`` keys (no two rows alike in them) one range shuffle does it. Otherwise many rows may share a key and
-    would all go to one task, so each row gets a tie-breaker: its place in a written copy, which stays the same when a
-    task is run again. A hot key then spans several neighbouring partitions.
+    would all go to one task, so each row gets a tie-breaker, see :func:`playlake.storage.with_place`. A hot key then
+    spans several neighbouring partitions.
     """
     order = list(keys)
     if not unique:
-        df = materialize(df, "arrange").withColumn("_tie", F.monotonically_increasing_id())
+        df = with_place(df, "_tie", from_scan)
         order.append("_tie")
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order).drop("_tie")

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,3 +30,13 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     path = path or fresh_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_place(df: DataFrame, name: str, from_scan: bool = False) -> DataFrame:
+    """Add each row's place in a file scan: unique, increasing in scan order, and the same when a task is run again.
+
+    Rows that come out of a shuffle reach their task in an order that may differ from run to run, so they are written
+    first and scanned. ``from_scan`` says that ``df`` is a scan already (filters and projections do no harm).
+    """
+    scan = df if from_scan else materialize(df, "placed")
+    return scan.withColumn(name, F.monotonically_increasing_id())

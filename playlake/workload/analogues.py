@@ -70,6 +70,14 @@ def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` in the columns of the event log that need no look at ``part``."""
+    events = table(spark, sf_dir, "events").withColumn("_ts", epoch_millis(F.col("ts")))
+    words = _SPARK | {"ts": "_ts", "session": "event_id div 10"}
+    names = [c for c in STAGING_EVENTS.names if c not in ("artist", "length", "song")]
+    return events.selectExpr(*[f"{_PLAY[c].format(**words)} as {c}" for c in names])
+
+
 def staged_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part`` in the columns of the song metadata."""
     part = table(spark, sf_dir, "part")

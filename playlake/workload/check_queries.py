@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from playlake import sinks
 from playlake.operators import profile, quality, statements
 from playlake.storage import fresh_path
-from playlake.workload.analogues import WITH, staged_events, staged_songs, table
+from playlake.workload.analogues import WITH, staged_log, staged_songs, table
 from playlake.workload.registry import query
 
 
@@ -22,12 +22,12 @@ def check_pk(spark, sf_dir):
     WITH + 'SELECT "userId", count(*) AS n_rows FROM ev GROUP BY ALL HAVING count(*) > 1 OR "userId" IS NULL',
 )
 def check_pk_null(spark, sf_dir):
-    return quality.duplicate_keys(staged_events(spark, sf_dir), ["userId"])
+    return quality.duplicate_keys(staged_log(spark, sf_dir), ["userId"])
 
 
 @query("check_not_null", WITH + "SELECT ts, page, 'userId is null' AS broken FROM ev WHERE \"userId\" IS NULL")
 def check_not_null(spark, sf_dir):
-    rows = quality.broken_rows(staged_events(spark, sf_dir), quality.Rules(required=("userId", "page", "ts")))
+    rows = quality.broken_rows(staged_log(spark, sf_dir), quality.Rules(required=("userId", "page", "ts")))
     return rows.select("ts", "page", F.array_join("broken", "; ").alias("broken"))
 
 
@@ -190,7 +190,7 @@ def count_rows(spark, sf_dir):
     WITH + 'SELECT count(DISTINCT "userId") + max(CASE WHEN "userId" IS NULL THEN 1 ELSE 0 END) AS n_distinct FROM ev',
 )
 def count_distinct(spark, sf_dir):
-    return profile.count_distinct(staged_events(spark, sf_dir), "userId")
+    return profile.count_distinct(staged_log(spark, sf_dir), "userId")
 
 
 @query("limit_sample", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5")

@@ -311,7 +311,7 @@ def sink_text_append(spark, sf_dir):
 @query("layout_sorted", "SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem")
 def layout_sorted(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    return sinks.arrange(lines, ["l_shipdate"])
+    return sinks.arrange(lines, ["l_shipdate"], from_scan=True)
 
 
 @query("positional_columns", 'SELECT l_orderkey AS a, l_suppkey AS b, l_shipdate AS c FROM lineitem')

@@ -6,7 +6,7 @@ from playlake.operators import dims, facts, ids, serving, upsert as up
 from playlake.operators.profile import first_per_key
 from playlake.plans.star import artist_rows, user_rows
 from playlake.storage import materialize
-from playlake.workload.analogues import PAGE, WITH, staged_events, staged_songs, table
+from playlake.workload.analogues import PAGE, WITH, staged_events, staged_log, staged_songs, table
 from playlake.workload.registry import query
 
 FACT = (
@@ -46,6 +46,10 @@ def _plays(spark, sf_dir):
     return dims.plays(staged_events(spark, sf_dir), PAGE)
 
 
+def _log_plays(spark, sf_dir):
+    return dims.plays(staged_log(spark, sf_dir), PAGE)
+
+
 def _catalog(spark, sf_dir):
     """The song and artist tables, joined again for the lookup."""
     songs = staged_songs(spark, sf_dir)
@@ -70,6 +74,23 @@ def songplays_title_artist(spark, sf_dir):
     return facts.with_year_month(facts.songplay_rows(matched))
 
 
+@query("songplays_sql", WITH + f"SELECT DISTINCT {SECOND}, {MATCHED} FROM {BOTH}")
+def songplays_sql(spark, sf_dir):
+    """In SQL, the page tested within the join condition: the optimizer takes it to the scan."""
+    return spark.sql(
+        """
+        SELECT DISTINCT
+            timestamp_ntz'1970-01-01' + (e.ts div 1000) * INTERVAL '1' SECOND AS start_time,
+            e.userId AS user_id, e.level, s.song_id, s.artist_id, e.sessionId AS session_id, e.location,
+            e.userAgent AS user_agent
+        FROM {songs} s JOIN {events} e ON s.title = e.song AND e.artist = s.artist_name AND e.page = :page
+        """,
+        args={"page": PAGE},
+        songs=staged_songs(spark, sf_dir),
+        events=staged_events(spark, sf_dir),
+    )
+
+
 @query("songplays_lookup", WITH + f"SELECT {MILLI}, {MATCHED} FROM {LOOKUP}")
 def songplays_lookup(spark, sf_dir):
     matched = facts.match_songs(_plays(spark, sf_dir), _catalog(spark, sf_dir), "exact", "left", first_only=True)
@@ -130,12 +151,12 @@ def songplays_serial(spark, sf_dir):
 )
 def lineitem_serial_ties(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_shipdate")
-    return ids.serial_ids(rows, ["l_shipdate"], "line_id")
+    return ids.serial_ids(rows, ["l_shipdate"], "line_id", from_scan=True)
 
 
 @query("songplays_mono_id", WITH + "SELECT count(*) AS n_rows, count(*) AS n_ids FROM plays")
 def songplays_mono_id(spark, sf_dir):
-    numbered = ids.spread_ids(_plays(spark, sf_dir))
+    numbered = ids.spread_ids(_log_plays(spark, sf_dir))
     return numbered.agg(F.count("*").alias("n_rows"), F.count_distinct("songplay_id").alias("n_ids"))
 
 
@@ -149,7 +170,7 @@ def songplays_mono_id(spark, sf_dir):
     f" FROM (SELECT DISTINCT ts, {SECOND} FROM plays)",
 )
 def time_lake(spark, sf_dir):
-    return dims.time_dimension(staged_events(spark, sf_dir), PAGE, keep_ts=True)
+    return dims.time_dimension(staged_log(spark, sf_dir), PAGE, keep_ts=True)
 
 
 @query(
@@ -159,7 +180,7 @@ def time_lake(spark, sf_dir):
     f" FROM (SELECT DISTINCT {SECOND} FROM ev)",
 )
 def time_warehouse(spark, sf_dir):
-    return dims.time_dimension(staged_events(spark, sf_dir), page=None, weekday="padded")
+    return dims.time_dimension(staged_log(spark, sf_dir), page=None, weekday="padded")
 
 
 TIME_STAR = f"SELECT start_time, {parts_sql('dayname(start_time)')} FROM (SELECT DISTINCT {MILLI} FROM plays)"
@@ -167,7 +188,30 @@ TIME_STAR = f"SELECT start_time, {parts_sql('dayname(start_time)')} FROM (SELECT
 
 @query("time_star", WITH + TIME_STAR)
 def time_star(spark, sf_dir):
-    return dims.time_dimension(staged_events(spark, sf_dir), PAGE, "milli", "name")
+    return dims.time_dimension(staged_log(spark, sf_dir), PAGE, "milli", "name")
+
+
+@query(
+    "time_sql",
+    WITH
+    + f"SELECT start_time, {parts_sql('CAST(dayofweek(start_time) + 1 AS INT)')} FROM (SELECT DISTINCT {SECOND} FROM ev)",
+)
+def time_sql(spark, sf_dir):
+    """In SQL: an epoch and an interval give the start time, and its parts refer to it by name in the same list."""
+    return spark.sql(
+        """
+        SELECT DISTINCT
+            timestamp_ntz'1970-01-01' + (ts div 1000) * INTERVAL '1' SECOND AS start_time,
+            extract(HOUR FROM start_time) AS hour,
+            extract(DAY FROM start_time) AS day,
+            extract(WEEKS FROM start_time) AS week,
+            extract(MONTH FROM start_time) AS month,
+            extract(YEAR FROM start_time) AS year,
+            extract(DAYOFWEEK FROM start_time) AS weekday
+        FROM {log}
+        """,
+        log=staged_log(spark, sf_dir),
+    )
 
 
 # Distinct dimensions
@@ -180,7 +224,7 @@ def time_star(spark, sf_dir):
     ' FROM plays WHERE "userId" IS NOT NULL',
 )
 def users_distinct(spark, sf_dir):
-    return dims.distinct_users(staged_events(spark, sf_dir), PAGE, require_id=True)
+    return dims.distinct_users(staged_log(spark, sf_dir), PAGE, require_id=True)
 
 
 @query(
@@ -232,7 +276,7 @@ ARTISTS_SQL = WITH + first_and_last(
 
 @query("users_upsert", USERS_SQL)
 def users_upsert(spark, sf_dir):
-    return up.upsert(user_rows(_plays(spark, sf_dir)), up.USERS_RULE)
+    return up.upsert(user_rows(_log_plays(spark, sf_dir)), up.USERS_RULE)
 
 
 @query("artists_upsert", ARTISTS_SQL)
@@ -273,7 +317,7 @@ def songs_insert_if_absent(spark, sf_dir):
 
 @query("time_insert_if_absent", WITH + TIME_STAR)
 def time_insert_if_absent(spark, sf_dir):
-    events = staged_events(spark, sf_dir)
+    events = staged_log(spark, sf_dir)
     existing = materialize(dims.time_dimension(events.filter("level = 'paid'"), PAGE, "milli", "name"), "time")
     times = dims.time_dimension(events, PAGE, "milli", "name")
     return existing.unionByName(up.insert_absent(existing, times, up.TIME_RULE))
@@ -282,7 +326,7 @@ def time_insert_if_absent(spark, sf_dir):
 @query("upsert_incremental", USERS_SQL)
 def upsert_incremental(spark, sf_dir):
     """The late batch first: the paid plays, then the free ones before, between and after them."""
-    rows = user_rows(_plays(spark, sf_dir))
+    rows = user_rows(_log_plays(spark, sf_dir))
     state = materialize(up.to_state(rows.filter("level = 'paid'"), up.USERS_RULE), "users")
     return up.from_state(up.upsert_into(state, rows.filter("level = 'free'"), up.USERS_RULE), up.USERS_RULE)
 

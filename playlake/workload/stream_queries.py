@@ -7,7 +7,7 @@ from playlake.plans.star import artist_rows, user_rows
 from playlake.schemas import EVENT_LOG
 from playlake.storage import fresh_path, materialize
 from playlake.streaming import incremental, topics
-from playlake.workload.analogues import PAGE, WITH, staged_events, staged_songs, table
+from playlake.workload.analogues import PAGE, WITH, staged_log, staged_songs, table
 from playlake.workload.file_queries import write_daily_logs
 from playlake.workload.registry import query
 from playlake.workload.star_queries import LOOKUP, MATCHED, MILLI, USERS_SQL
@@ -97,7 +97,7 @@ def stream_file_songplays(spark, sf_dir):
 def stream_upsert_compacted(spark, sf_dir):
     """The states of all batches folded into one, then read."""
     path, compacted = fresh_path(spark, "users"), fresh_path(spark, "users")
-    rows = user_rows(dims.plays(staged_events(spark, sf_dir), PAGE))
+    rows = user_rows(dims.plays(staged_log(spark, sf_dir), PAGE))
     load = incremental.upsert_batches(up.USERS_RULE, path)
     for batch_id, level in enumerate(("paid", "free")):
         load(rows.filter(F.col("level") == level), batch_id)
