@@ -35,7 +35,8 @@ def weekday(start: Column, style: str = "number") -> Column:
     number = F.dayofweek(start)
     if style == "number":
         return number
-    name = F.element_at(F.array(*[F.lit(day) for day in WEEKDAYS]), number)
+    # ``element_at`` takes a null position in a constant array for the last one.
+    name = F.get(F.array(*[F.lit(day) for day in WEEKDAYS]), number - 1)
     if style == "name":
         return name
     if style == "padded":

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from playlake.operators.joins import skew_join
+from playlake.schemas import WAREHOUSE_LENGTHS
 
 
 @dataclass(frozen=True)
@@ -46,11 +47,7 @@ STAR_RULES = {
     ),
     "songplays": Rules(required=("songplay_id", "level", "session_id")),
 }
-WAREHOUSE_LENGTHS = {
-    "staging_events": {"firstName": 50, "lastName": 50, "gender": 1},
-    "users": {"first_name": 50, "last_name": 50, "gender": 1},
-    "time": {"weekday": 9},
-}
+WAREHOUSE_RULES = {table: Rules(max_length=lengths) for table, lengths in WAREHOUSE_LENGTHS.items()}
 STAR_REFERENCES = (
     ("songs", "artist_id", "artists", "artist_id"),
     ("songplays", "start_time", "time", "start_time"),

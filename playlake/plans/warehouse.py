@@ -17,14 +17,18 @@ def build_warehouse(
     page: str = dims.PLAY_PAGE,
     json_paths: tuple[str, ...] = EVENT_JSON_PATHS,
     song_object_files: bool = False,
+    fail: bool = True,
 ) -> dict[str, DataFrame]:
-    """Replace the staging and star tables of an existing ``database`` and return them."""
+    """Replace the staging and star tables of an existing ``database`` and return them.
+
+    Text that is no JSON fails the build; without ``fail`` it is staged as a row of nulls.
+    """
     name = {table: f"{database}.{table}" for table in WAREHOUSE}
     drop_tables(spark, list(name.values()))
     create_tables(spark, database, WAREHOUSE)
 
-    insert_select(copy_by_paths(spark, log_path, json_paths, STAGING_EVENTS), name["staging_events"])
-    insert_select(copy_by_name(spark, song_path, STAGING_SONGS, song_object_files), name["staging_songs"])
+    insert_select(copy_by_paths(spark, log_path, json_paths, STAGING_EVENTS, fail), name["staging_events"])
+    insert_select(copy_by_name(spark, song_path, STAGING_SONGS, song_object_files, fail), name["staging_songs"])
     events, songs = spark.table(name["staging_events"]), spark.table(name["staging_songs"])
 
     matched = facts.match_songs(dims.plays(events, page), songs, "title_artist")

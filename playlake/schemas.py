@@ -4,6 +4,7 @@ Ids that count up with the data (``sessionId``, ``userId``) are 64 bit, so that
 """
 
 from pyspark.sql.types import (
+    CharType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -12,6 +13,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    VarcharType,
 )
 
 
@@ -61,12 +63,30 @@ ARTISTS_DECIMAL = _schema(
 TIME = _schema(start_time=_TS, hour=_I, day=_I, week=_I, month=_I, year=_I, weekday=_S)
 
 STAR = {"users": USERS, "artists": ARTISTS_DECIMAL, "songs": SONGS, "time": TIME, "songplays": SONGPLAYS}
+
+# The longest texts the warehouse tables take; 1 is a char column, the others varchar.
+WAREHOUSE_LENGTHS = {
+    "staging_events": {"firstName": 50, "gender": 1, "lastName": 50},
+    "users": {"first_name": 50, "last_name": 50, "gender": 1},
+    "time": {"weekday": 9},
+}
+
+
+def limited(schema: StructType, lengths: dict[str, int]) -> StructType:
+    """``schema`` for a table definition, its texts limited to ``lengths``."""
+    types = {name: CharType(n) if n == 1 else VarcharType(n) for name, n in lengths.items()}
+    return StructType([StructField(f.name, types.get(f.name, f.dataType), f.nullable) for f in schema])
+
+
 WAREHOUSE = {
-    "staging_events": STAGING_EVENTS,
-    "staging_songs": STAGING_SONGS,
-    "songplays": SONGPLAYS,
-    "users": USERS,
-    "songs": SONGS,
-    "artists": ARTISTS,
-    "time": TIME,
+    name: limited(schema, WAREHOUSE_LENGTHS.get(name, {}))
+    for name, schema in {
+        "staging_events": STAGING_EVENTS,
+        "staging_songs": STAGING_SONGS,
+        "songplays": SONGPLAYS,
+        "users": USERS,
+        "songs": SONGS,
+        "artists": ARTISTS,
+        "time": TIME,
+    }.items()
 }

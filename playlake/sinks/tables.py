@@ -6,12 +6,16 @@ from pyspark.sql.types import StructType
 from playlake.storage import with_place
 
 
-def create_database(spark: SparkSession, name: str, location: str | None = None, replace: bool = False) -> None:
-    """Create a database if absent; ``replace`` drops it with its tables first."""
+def create_database(
+    spark: SparkSession, name: str, location: str | None = None, replace: bool = False, use: bool = False
+) -> None:
+    """Create a database if absent; ``replace`` drops it with its tables first, ``use`` makes it the current one."""
     if replace:
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
+    if use:
+        spark.catalog.setCurrentDatabase(name)
 
 
 def drop_tables(spark: SparkSession, names: list[str]) -> None:

@@ -39,30 +39,45 @@ def _text_schema(key_lists: list[tuple[str, ...]]) -> StructType | None:
     return build(tree)
 
 
-def copy_by_paths(spark: SparkSession, path: str | list[str], json_paths, schema: StructType) -> DataFrame:
+def copy_by_paths(
+    spark: SparkSession, path: str | list[str], json_paths, schema: StructType, fail: bool = True
+) -> DataFrame:
     """JSON lines loaded by position: the n-th JSONPath fills the n-th column, cast to its type.
 
-    A value that does not fit the type, such as an empty user id, is null. Paths made of object keys are read in one
-    pass by the JSON scan, which parses only those keys; other paths are taken from each line's text.
+    A value that does not fit the type, such as an empty user id, is null. A line that is no JSON fails the load, or
+    without ``fail`` gives nulls. Paths made of object keys are read in one pass by the JSON scan, which parses only
+    those keys; other paths are taken from each line's text.
     """
     if len(json_paths) != len(schema):
         raise ValueError(f"{len(json_paths)} paths for {len(schema)} columns")
     key_lists = [_keys(p) for p in json_paths]
     text_schema = None if None in key_lists else _text_schema(key_lists)
     if text_schema is not None:
-        lines = spark.read.schema(text_schema).json(path)
+        lines = spark.read.schema(text_schema).option("mode", _mode(fail)).json(path)
         values = [F.col(".".join(f"`{key}`" for key in keys)) for keys in key_lists]
     else:
         lines = spark.read.text(path)
-        values = [F.get_json_object("value", p) for p in json_paths]
+        line = F.col("value")
+        if fail:
+            damaged = line.isNotNull() & F.try_parse_json(line).isNull()
+            line = F.when(damaged, F.raise_error(F.lit("a line is no JSON"))).otherwise(line)
+        values = [F.get_json_object(line, p) for p in json_paths]
     return lines.select(
         *[lenient(v, StringType(), f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
     )
 
 
 def copy_by_name(
-    spark: SparkSession, path: str | list[str], schema: StructType, object_files: bool = False
+    spark: SparkSession, path: str | list[str], schema: StructType, object_files: bool = False, fail: bool = True
 ) -> DataFrame:
-    """JSON lines, or one object per file, loaded by field name: missing fields are null, extra fields ignored."""
+    """JSON lines, or one object per file, loaded by field name: missing fields are null, extra fields ignored.
+
+    Text that is no JSON fails the load, or without ``fail`` gives nulls.
+    """
     text = StructType([StructField(f.name, StringType()) for f in schema])
-    return conform(spark.read.schema(text).option("multiLine", object_files).json(path), schema)
+    reader = spark.read.schema(text).option("multiLine", object_files).option("mode", _mode(fail))
+    return conform(reader.json(path), schema)
+
+
+def _mode(fail: bool) -> str:
+    return "FAILFAST" if fail else "PERMISSIVE"

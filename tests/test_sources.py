@@ -69,6 +69,15 @@ def test_copy_by_paths(spark, out):
         sources.copy_by_paths(spark, out, ("$.n",), overlapping)
 
 
+@pytest.mark.parametrize("json_path", ["$.u", "$.l[0]"])
+def test_copy_of_damaged_lines(spark, out, json_path):
+    write(f"{out}/x.json", '{"u": "1", "l": [1]}\n{"u": \n')
+    schema = StructType().add("u", LongType())
+    assert tuples(sources.copy_by_paths(spark, out, (json_path,), schema, fail=False)) == [(1,), (None,)]
+    with pytest.raises(Exception, match="MALFORMED_RECORD|no JSON"):
+        sources.copy_by_paths(spark, out, (json_path,), schema).collect()
+
+
 def test_copy_by_name(spark, out):
     write(f"{out}/x.json", '{"song_id": "S1", "year": "1982.0", "duration": "n/a", "more": 1}\n')
     row = sources.copy_by_name(spark, out, schemas.STAGING_SONGS).first()

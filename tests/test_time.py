@@ -45,6 +45,12 @@ def test_session_zone_does_not_matter(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@pytest.mark.parametrize("style", ["number", "name", "padded"])
+def test_no_time_has_no_weekday(spark, style):
+    rows = events(spark, dict(ts=None))
+    assert tuples(dims.time_dimension(rows, weekday=style)) == [(None,) * 7]
+
+
 def test_weekday_names_follow_numbers(spark):
     days = spark.sql("SELECT explode(sequence(date'2023-01-01', date'2023-01-07')) AS d")
     named = days.orderBy("d").select(weekday(F.col("d"), "name").alias("w"), weekday(F.col("d")).alias("n"))
