@@ -58,6 +58,24 @@ def serial_ids(
     )
 
 
+def arrival_ids(stored: DataFrame, name: str = "songplay_id", start: int = 1) -> DataFrame:
+    """Ids ``start, start + 1, ...`` without gaps, in the order rows stand in the Parquet files ``stored`` scans.
+
+    ``stored`` must be such a scan as it is, without a filter. A row's number in its file does not depend on how the
+    scan is split, so there is nothing to shuffle; the row counts of the files before give each file its offset.
+    """
+    columns = stored.columns
+    file = F.col("_metadata.file_path").alias("_file")
+    sizes = stored.groupBy(file).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    placed = stored.select(*columns, file, F.col("_metadata.row_index").alias("_row"))
+    # One row per file: Spark broadcasts it unless the files are very many.
+    return placed.join(offsets, "_file").select(
+        (F.col("_offset") + F.col("_row") + start).cast("bigint").alias(name), *columns
+    )
+
+
 def identity_ids(df: DataFrame, name: str = "songplay_id") -> DataFrame:
     """Distinct rows, numbered from 1 in the order of all their columns."""
     return serial_ids(df.distinct(), df.columns, name, unique=True)

@@ -9,8 +9,8 @@ from playlake.sinks.files import write_parquet
 from playlake.sources.files import read_json_lines, split_corrupt
 from playlake.sources.tables import read_partitioned
 
-# Partition columns of the written tables.
-SONG_PARTITIONS = ("year", "artist_id")
+# Partition columns of the written tables. Songs may also be parted by ("year", "artist_id").
+SONG_PARTITIONS = ("year",)
 MONTH_PARTITIONS = ("year", "month")
 
 
@@ -25,7 +25,7 @@ def build_lake(
     """Write ``songs``, ``artist``, ``users``, ``time_table`` and ``songplays`` below ``out`` and return them as read back.
 
     The raw text is parsed once, into ``out/staging``; lines that do not parse are returned as ``rejected_songs`` and
-    ``rejected_events``. With many artists, partition songs by year only.
+    ``rejected_events``. Partitioning songs by artist as well makes a directory per artist and year.
     """
     songs, bad_songs = split_corrupt(
         read_json_lines(spark, song_path, SONG_META, CORRUPT_COLUMN), path=f"{out}/staging/songs"

@@ -31,13 +31,11 @@ def user_rows(plays: DataFrame) -> DataFrame:
     )
 
 
-def songplay_facts(plays: DataFrame, catalog: DataFrame, start: int = 1) -> DataFrame:
-    """One numbered fact row per play, with the ids of the song it matches exactly, if any.
+def songplay_facts(numbered: DataFrame, catalog: DataFrame) -> DataFrame:
+    """One fact row per numbered play, with the ids of the song it matches exactly, if any.
 
-    ``plays`` must come from a file scan: a play's place in it breaks ties between plays that are alike. Ids are given
-    before the lookup, which keeps one row per play.
+    Plays are numbered before the lookup, which keeps one row of each.
     """
-    numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], start=start, from_scan=True)
     matched = facts.match_songs(numbered, catalog, "exact", how="left", first_only=True)
     return facts.songplay_rows(matched, "milli", "songplay_id").select(*STAR["songplays"].names)
 
@@ -65,7 +63,8 @@ def build_star(
     tables = {t: spark.read.schema(STAR[t]).parquet(f"{out}/{t}") for t in ("artists", "songs", "time", "users")}
 
     catalog = facts.song_catalog(tables["songs"], tables["artists"])
-    write_parquet(songplay_facts(plays, catalog), f"{out}/songplays")
+    numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], from_scan=True)
+    write_parquet(songplay_facts(numbered, catalog), f"{out}/songplays")
     tables["songplays"] = spark.read.schema(STAR["songplays"]).parquet(f"{out}/songplays")
     return tables | {"violations": violations(tables)}
 

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from playlake.functions.casts import conform
 from playlake.operators import dims
+from playlake.operators.ids import arrival_ids
 from playlake.operators.upsert import USERS_RULE, UpsertRule, fold, from_state, to_state
 from playlake.plans.star import songplay_facts, user_rows
 from playlake.schemas import STAGING_EVENTS, STAR
@@ -80,7 +81,7 @@ def star_batches(spark: SparkSession, catalog: DataFrame, out: str, page: str =
         before = 0
         if batch_id > 0:
             before = session.read.parquet(batch_path(totals, batch_id - 1)).first()["n_rows"]
-        songplays = songplay_facts(plays, catalog, start=before + 1)
+        songplays = songplay_facts(arrival_ids(plays, start=before + 1), catalog)
         songplays.write.mode("overwrite").parquet(batch_path(f"{out}/songplays", batch_id))
         so_far = plays.agg((F.count(F.lit(1)) + before).alias("n_rows"))
         so_far.write.mode("overwrite").parquet(batch_path(totals, batch_id))

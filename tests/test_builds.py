@@ -9,7 +9,7 @@ import pytest
 
 from playlake.__main__ import main
 from playlake.operators import quality
-from playlake.plans import build_warehouse
+from playlake.plans import build_lake, build_warehouse
 from playlake.schemas import SONGPLAYS
 from playlake.sinks import create_database
 from tests.rows import event, song, tuples
@@ -46,11 +46,21 @@ def test_lake(spark, files, capsys):
     assert plays.select("songplay_id").distinct().count() == 4
     assert tuples(plays.select("start_time").distinct()) == [(datetime.datetime(2018, 11, 1, 20, 57, 10),)]
     assert os.path.isdir(files + "/lake/songplays/year=2018/month=11")
-    assert os.path.isdir(files + "/lake/songs/year=0/artist_id=A1")
+    assert os.path.isdir(files + "/lake/songs/year=0")
     assert spark.read.parquet(files + "/lake/time_table").count() == 3
     assert spark.read.parquet(files + "/lake/users").count() == 2
 
 
+def test_lake_parted_by_artist(spark, files):
+    paths = files + "/songs/*/*/*.json", files + "/logs/*/*/*.json"
+    by_year = build_lake(spark, *paths, files + "/a")
+    by_artist = build_lake(spark, *paths, files + "/b", song_partitions=("year", "artist_id"))
+    assert os.path.isdir(files + "/b/songs/year=0/artist_id=A1")
+    for table in ("songs", "songplays"):
+        columns = sorted(set(by_year[table].columns) - {"songplay_id"})
+        assert tuples(by_year[table], *columns) == tuples(by_artist[table], *columns)
+
+
 def test_warehouse(spark, files):
     create_database(spark, "house", files + "/house", replace=True)
     try:

@@ -86,6 +86,18 @@ def test_serial_ids_are_contiguous_and_spread(spark, hot, unique):
     assert [r["t"] for r in got] == sorted(r["t"] for r in got)
 
 
+def test_arrival_ids_follow_the_files_however_they_are_split(spark, settings, out):
+    spark.range(0, 50000, numPartitions=5).write.parquet(out + "/t")
+    found = []
+    for size in ("10KB", "128MB"):
+        settings(files__maxPartitionBytes=size)
+        numbered = ids.arrival_ids(spark.read.parquet(out + "/t"), "i", start=11)
+        found.append(tuples(numbered))
+        assert "Exchange hashpartitioning(_file" not in plan_text(numbered, "simple").split("Window")[0]
+    assert found[0] == found[1]
+    assert sorted(found[0]) == [(i + 11, i) for i in range(50000)]
+
+
 def test_a_hot_value_spans_partitions(spark, settings, hot):
     settings(adaptive__coalescePartitions__enabled="false")
     arranged = sinks.arrange(hot, ["t"], partitions=8)
