@@ -47,7 +47,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         return build_serving(spark, args.csv, args.out)
     songs, artists = (spark.read.schema(STAR[t]).parquet(f"{args.star}/{t}") for t in ("songs", "artists"))
     stream = incremental.read_files(spark, args.logs, EVENT_LOG, files_per_trigger=args.files_per_batch)
-    batches = incremental.star_batches(spark, song_catalog(songs, artists), args.out)
+    batches = incremental.star_batches(song_catalog(songs, artists), args.out)
     incremental.run_batches(stream, batches, args.checkpoint).awaitTermination()
     return incremental.current_star(spark, args.out)
 

@@ -31,12 +31,13 @@ def user_rows(plays: DataFrame) -> DataFrame:
     )
 
 
-def songplay_facts(numbered: DataFrame, catalog: DataFrame) -> DataFrame:
+def songplay_facts(numbered: DataFrame, first_songs: DataFrame) -> DataFrame:
     """One fact row per numbered play, with the ids of the song it matches exactly, if any.
 
-    Plays are numbered before the lookup, which keeps one row of each.
+    ``first_songs`` has one row per match key, see :func:`playlake.operators.facts.first_song`, so that plays can be
+    numbered before the lookup.
     """
-    matched = facts.match_songs(numbered, catalog, "exact", how="left", first_only=True)
+    matched = facts.match_songs(numbered, first_songs, "exact", how="left")
     return facts.songplay_rows(matched, "milli", "songplay_id").select(*STAR["songplays"].names)
 
 
@@ -64,7 +65,7 @@ def build_star(
 
     catalog = facts.song_catalog(tables["songs"], tables["artists"])
     numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], from_scan=True)
-    write_parquet(songplay_facts(numbered, catalog), f"{out}/songplays")
+    write_parquet(songplay_facts(numbered, facts.first_song(catalog)), f"{out}/songplays")
     tables["songplays"] = spark.read.schema(STAR["songplays"]).parquet(f"{out}/songplays")
     return tables | {"violations": violations(tables)}
 

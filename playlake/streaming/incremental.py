@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from playlake.functions.casts import conform
 from playlake.operators import dims
+from playlake.operators.facts import first_song
 from playlake.operators.ids import arrival_ids
 from playlake.operators.upsert import USERS_RULE, UpsertRule, fold, from_state, to_state
 from playlake.plans.star import songplay_facts, user_rows
@@ -66,8 +67,12 @@ def compact(spark: SparkSession, table_path: str, rule: UpsertRule, out: str) ->
     fold(state.drop("batch"), rule).write.mode("overwrite").parquet(batch_path(out, last))
 
 
-def star_batches(spark: SparkSession, catalog: DataFrame, out: str, page: str = dims.PLAY_PAGE):
-    """A ``load`` function that takes event-log rows into ``users``, ``time`` and ``songplays`` below ``out``."""
+def star_batches(catalog: DataFrame, out: str, page: str = dims.PLAY_PAGE):
+    """A ``load`` function that takes event-log rows into ``users``, ``time`` and ``songplays`` below ``out``.
+
+    The catalog is reduced to its first song per match key once, for all batches.
+    """
+    first_songs = materialize(first_song(catalog), "first-songs")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -81,7 +86,7 @@ def star_batches(spark: SparkSession, catalog: DataFrame, out: str, page: str =
         before = 0
         if batch_id > 0:
             before = session.read.parquet(batch_path(totals, batch_id - 1)).first()["n_rows"]
-        songplays = songplay_facts(arrival_ids(plays, start=before + 1), catalog)
+        songplays = songplay_facts(arrival_ids(plays, start=before + 1), first_songs)
         songplays.write.mode("overwrite").parquet(batch_path(f"{out}/songplays", batch_id))
         so_far = plays.agg((F.count(F.lit(1)) + before).alias("n_rows"))
         so_far.write.mode("overwrite").parquet(batch_path(totals, batch_id))

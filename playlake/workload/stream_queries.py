@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from playlake.operators import dims, facts, upsert as up
 from playlake.plans.star import artist_rows, user_rows
 from playlake.schemas import EVENT_LOG
-from playlake.storage import fresh_path, materialize
+from playlake.storage import fresh_path
 from playlake.streaming import incremental, topics
 from playlake.workload.analogues import PAGE, WITH, staged_log, staged_songs, table
 from playlake.workload.file_queries import write_daily_logs
@@ -74,11 +74,11 @@ def load_daily_logs(spark, sf_dir: str) -> dict:
     """The daily logs, about a quarter of the files per batch, in the order the files were written."""
     songs = staged_songs(spark, sf_dir)
     artists = up.upsert(artist_rows(songs), up.ARTISTS_RULE)
-    catalog = materialize(facts.song_catalog(up.upsert(songs.select(*dims.SONG_COLUMNS), up.SONGS_RULE), artists), "catalog")
+    catalog = facts.song_catalog(up.upsert(songs.select(*dims.SONG_COLUMNS), up.SONGS_RULE), artists)
     logs, out = write_daily_logs(spark, sf_dir), fresh_path(spark, "star")
     n_files = len(spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(logs).inputFiles())
     stream = incremental.read_files(spark, logs, EVENT_LOG, files_per_trigger=max(1, n_files // 4))
-    load = incremental.star_batches(spark, catalog, out, PAGE)
+    load = incremental.star_batches(catalog, out, PAGE)
     incremental.run_batches(stream, load, fresh_path(spark, "checkpoint")).awaitTermination()
     return incremental.current_star(spark, out)
 

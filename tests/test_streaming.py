@@ -57,7 +57,7 @@ def test_file_by_file_equals_one_run(spark, out):
     write_json(f"{out}/songs/1.json", [song()])
     star = None
     catalog = spark.createDataFrame([("S1", "A1", "Hey", "Ann", 200.5)], "song_id string, artist_id string, title string, artist_name string, duration double")
-    load = incremental.star_batches(spark, catalog, out + "/star")
+    load = incremental.star_batches(catalog, out + "/star")
     for i, rows in enumerate(FILES):
         write_json(f"{out}/logs/2018/{i}.json", [log(**r) for r in rows])
         stream = incremental.read_files(spark, out + "/logs", schemas.EVENT_LOG)
