@@ -8,7 +8,7 @@ that holds much of the plays; see :func:`playlake.operators.joins.skew_join`.
 from pyspark.sql import DataFrame, functions as F
 
 from playlake.functions.timeparts import start_time
-from playlake.operators.joins import skew_join
+from playlake.operators.joins import no_nulls, skew_join
 
 # Which play column equals which song column, by match rule.
 MATCH_RULES = {
@@ -31,7 +31,7 @@ def first_song(catalog: DataFrame, match: str = "exact") -> DataFrame:
     """One song per match key: the smallest song id, and the smallest artist id of that song."""
     keys = list(MATCH_RULES[match].values())
     return (
-        catalog.dropna(subset=keys)
+        no_nulls(catalog, keys)
         .groupBy(*keys)
         .agg(F.min(F.struct("song_id", "artist_id")).alias("first"))
         .select(*keys, "first.song_id", "first.artist_id")

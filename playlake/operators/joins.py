@@ -1,8 +1,15 @@
 """Equi-joins that stay balanced when one key holds much of the rows."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 
+def no_nulls(df: DataFrame, columns) -> DataFrame:
+    """Rows without a null in ``columns``. Unlike ``dropna`` it keeps NaN, which is a value."""
+    return reduce(lambda rows, c: rows.filter(F.col(c).isNotNull()), columns, df)
+
+
 def skew_join(left: DataFrame, right: DataFrame, on: dict[str, str], how: str) -> DataFrame:
     """Join ``left`` and ``right`` where each left column of ``on`` equals its right column.
 

@@ -36,7 +36,10 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 
 def profile_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum, exact quartiles (linear interpolation) and maximum per column."""
+    """Count, mean, sample standard deviation, minimum, exact quartiles and maximum of each column.
+
+    Quartiles between two values are interpolated.
+    """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
     values = _value_counts(df, columns)
     moments = df.agg(

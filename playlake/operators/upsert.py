@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from playlake.operators.joins import no_nulls
 from playlake.sources.files import union_sources
 
 
@@ -50,7 +51,7 @@ def to_state(rows: DataFrame, rule: UpsertRule, null_keys: str = "error") -> Dat
     A null key fails the job, as a primary key would; ``null_keys='drop'`` leaves such rows out.
     """
     if null_keys == "drop":
-        rows = rows.dropna(subset=list(rule.keys))
+        rows = no_nulls(rows, rule.keys)
         keys = [F.col(k) for k in rule.keys]
     else:
         keys = [

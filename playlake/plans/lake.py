@@ -22,7 +22,7 @@ def build_lake(
     page: str = dims.PLAY_PAGE,
     song_partitions: tuple[str, ...] = SONG_PARTITIONS,
 ) -> dict[str, DataFrame]:
-    """Write ``songs``, ``artist``, ``users``, ``time_table`` and ``songplays`` below ``out`` and return them as read back.
+    """Write ``songs``, ``artist``, ``users``, ``time_table`` and ``songplays`` below ``out``, return them as read back.
 
     The raw text is parsed once, into ``out/staging``; lines that do not parse are returned as ``rejected_songs`` and
     ``rejected_events``. Partitioning songs by artist as well makes a directory per artist and year.

@@ -51,7 +51,10 @@ def insert_select(df: DataFrame, name: str, columns: list[str] | None = None) ->
     if unknown:
         raise ValueError(f"{name} has no columns {sorted(unknown)}")
     df.select(
-        *[F.col(f"`{given[f.name]}`") if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
+        *[
+            F.col(f"`{given[f.name]}`") if f.name in given else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in target
+        ]
     ).write.insertInto(name)
 
 

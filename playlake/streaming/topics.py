@@ -40,7 +40,7 @@ def read_topic(
 def write_topic(
     messages: DataFrame, sink: str, options: dict[str, str], checkpoint: str, separator: str = SEPARATOR
 ) -> StreamingQuery:
-    """Write ``key`` and ``value`` as Kafka records, as text lines, or as columns of a file sink; all that is there now."""
+    """Write all messages there are now: as Kafka records, as text lines, or as two columns of a file sink."""
     if sink == "kafka":
         out = messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
     elif sink == "text":

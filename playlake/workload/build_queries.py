@@ -13,7 +13,6 @@ from playlake.workload.file_queries import (
     write_csvs,
     write_daily_logs,
     write_damaged_logs,
-    write_song_objects,
     write_songs,
 )
 from playlake.workload.registry import query
@@ -53,7 +52,6 @@ def _warehouse(spark, sf_dir):
 
 
 def _star(spark, sf_dir):
-    # The written objects carry the ending .txt; the build looks for .json, so give it plain lines.
     songs, logs = write_songs(spark, sf_dir), write_daily_logs(spark, sf_dir)
     return build_star(spark, songs, logs, fresh_path(spark, "star"), PAGE, object_files=False)
 

@@ -104,7 +104,10 @@ def delete_script(spark, sf_dir):
     return spark.read.text(path)
 
 
-@query("delete_script_quoted", "SELECT concat('DELETE FROM t WHERE url=''', replace(url, '''', ''''''), ''';') AS statement FROM pages")
+@query(
+    "delete_script_quoted",
+    "SELECT concat('DELETE FROM t WHERE url=''', replace(url, '''', ''''''), ''';') AS statement FROM pages",
+)
 def delete_script_quoted(spark, sf_dir):
     return statements.delete_statements(table(spark, sf_dir, "pages"), "t", {"url": "url"})
 
@@ -140,7 +143,8 @@ PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
 
 def profile_sql(table_name: str, columns) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,"
+        f"SELECT '{c}' AS column_name, count({c}) AS count,"
+        f" round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,"
         f" CAST(min({c}) AS DOUBLE) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25,"
         f" round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50,"
         f" round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM {table_name}"
@@ -172,7 +176,8 @@ PROFILE_TYPES = {
 @query(
     "profile_columns",
     " UNION ALL ".join(
-        f"SELECT CAST({i} AS INT) AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_non_null FROM orders"
+        f"SELECT CAST({i} AS INT) AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_non_null"
+        " FROM orders"
         for i, (c, t) in enumerate(PROFILE_TYPES.items())
     ),
 )

@@ -21,7 +21,8 @@ def write_daily_logs(spark, sf_dir: str) -> str:
     """The event log as JSON lines below ``<year-month>/<day>/``."""
     path = fresh_path(spark, "logs")
     day = start_time(F.col("ts"))
-    logs = raw_events(spark, sf_dir).select("*", F.date_format(day, "yyyy-MM").alias("month"), F.dayofmonth(day).alias("day"))
+    month = F.date_format(day, "yyyy-MM")
+    logs = raw_events(spark, sf_dir).select("*", month.alias("month"), F.dayofmonth(day).alias("day"))
     logs.hint("rebalance", "month", "day").write.partitionBy("month", "day").json(path)
     return path
 
@@ -193,7 +194,11 @@ def scan_leaf_glob(spark, sf_dir):
     return sources.read_leaves(spark, write_song_table(spark, sf_dir))
 
 
-@query("union_sources", "SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation UNION ALL SELECT r_regionkey, r_name, NULL FROM region")
+@query(
+    "union_sources",
+    "SELECT n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation"
+    " UNION ALL SELECT r_regionkey, r_name, NULL FROM region",
+)
 def union_sources(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").toDF("key", "name", "region")
     region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
@@ -283,7 +288,10 @@ CONSOLIDATED = (
 )
 
 
-@query("sink_csv_quoted", WITH + CONSOLIDATED.replace("artist,", "replace(artist, ' (live)', ' \"live\", at home') AS artist,", 1))
+@query(
+    "sink_csv_quoted",
+    WITH + CONSOLIDATED.replace("artist,", "replace(artist, ' (live)', ' \"live\", at home') AS artist,", 1),
+)
 def sink_csv_quoted(spark, sf_dir):
     return consolidate(spark, write_csvs(spark, sf_dir), fresh_path(spark, "consolidated"))
 

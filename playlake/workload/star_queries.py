@@ -194,7 +194,8 @@ def time_star(spark, sf_dir):
 @query(
     "time_sql",
     WITH
-    + f"SELECT start_time, {parts_sql('CAST(dayofweek(start_time) + 1 AS INT)')} FROM (SELECT DISTINCT {SECOND} FROM ev)",
+    + f"SELECT start_time, {parts_sql('CAST(dayofweek(start_time) + 1 AS INT)')}"
+    f" FROM (SELECT DISTINCT {SECOND} FROM ev)",
 )
 def time_sql(spark, sf_dir):
     """In SQL: an epoch and an interval give the start time, and its parts refer to it by name in the same list."""

@@ -38,7 +38,8 @@ def files(out):
 
 
 def test_lake(spark, files, capsys):
-    main(["lake", "--songs", files + "/songs/*/*/*.json", "--logs", files + "/logs/*/*/*.json", "--out", files + "/lake"])
+    songs, logs = files + "/songs/*/*/*.json", files + "/logs/*/*/*.json"
+    main(["lake", "--songs", songs, "--logs", logs, "--out", files + "/lake"])
     assert "rejected_events: 1 rows" in capsys.readouterr().out
     plays = spark.read.parquet(files + "/lake/songplays")
     # The copy among the log rows is merged; both songs have the title, so each play gives two rows.
@@ -86,7 +87,9 @@ def test_star_then_new_files(spark, files, capsys):
     main(["star", "--songs", files + "/songs", "--logs", files + "/logs", "--out", files + "/star"])
     assert "violations: 0 rows" in capsys.readouterr().out
     plays = spark.read.parquet(files + "/star/songplays")
-    assert tuples(plays, "songplay_id", "user_id", "song_id") == [(1, 8, "S1"), (2, 7, "S1"), (3, 7, "S1"), (4, 7, None)]
+    assert tuples(plays, "songplay_id", "user_id", "song_id") == [
+        (1, 8, "S1"), (2, 7, "S1"), (3, 7, "S1"), (4, 7, None),
+    ]
     load = ["load", "--star", files + "/star", "--logs", files + "/logs", "--out", files + "/live"]
     main([*load, "--checkpoint", files + "/checkpoint"])
     assert "songplays: 4 rows" in capsys.readouterr().out
@@ -111,4 +114,5 @@ def test_serving(spark, out, capsys):
     printed = capsys.readouterr().out
     assert "events_csv: 2 rows" in printed and "song_users: 1 rows" in printed
     assert tuples(spark.read.parquet(out + "/serving/song_users")) == [("Hey", 7, "Flora", "Lee")]
-    assert tuples(spark.read.parquet(out + "/serving/session_item"), "itemInSession", "artist") == [(1, 'The "Q"'), (2, "Ann")]
+    items = spark.read.parquet(out + "/serving/session_item")
+    assert tuples(items, "itemInSession", "artist") == [(1, 'The "Q"'), (2, "Ann")]

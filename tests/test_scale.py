@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from playlake import sinks
 from playlake.operators import facts, ids, joins, profile, quality, upsert as up
 from playlake.operators.profile import plan_text
-from playlake.workload.analogues import PAGE, staged_events, staged_songs, table
+from playlake.workload.analogues import PAGE, staged_events, staged_songs
 from playlake.operators import dims
 from tests.conftest import SMALL
 from tests.rows import tuples

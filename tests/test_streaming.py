@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from playlake import schemas
 from playlake.operators import upsert as up
 from playlake.plans import build_star
@@ -49,14 +47,14 @@ def test_reader_goes_on_or_starts_over(spark, out):
 FILES = (
     [dict(ts=3000, level="paid", firstName="New", itemInSession=3), dict(ts=3500, userId=8, itemInSession=4)],
     [dict(ts=1000, level="free", firstName="Old", itemInSession=1), dict(page="Home", userId=None, itemInSession=9)],
-    [dict(ts=2000, level="free", song="Nope", itemInSession=2), dict(ts=2000, level="free", song="Nope", itemInSession=2)],
+    [dict(ts=2000, level="free", song="Nope", itemInSession=2)] * 2,
 )
 
 
 def test_file_by_file_equals_one_run(spark, out):
     write_json(f"{out}/songs/1.json", [song()])
     star = None
-    catalog = spark.createDataFrame([("S1", "A1", "Hey", "Ann", 200.5)], "song_id string, artist_id string, title string, artist_name string, duration double")
+    catalog = spark.createDataFrame([song()], schemas.SONG_META)
     load = incremental.star_batches(catalog, out + "/star")
     for i, rows in enumerate(FILES):
         write_json(f"{out}/logs/2018/{i}.json", [log(**r) for r in rows])

@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import CharType, IntegerType, StringType, StructType, VarcharType
+from pyspark.sql.types import CharType, IntegerType, StructType, VarcharType
 
 from playlake import sinks, sources
 from playlake.operators import profile, quality, statements

@@ -21,7 +21,9 @@ def brute_force(rows):
 
 
 ROWS = st.lists(
-    st.tuples(st.integers(0, 3), st.sampled_from(["x", "y", None]), st.sampled_from(["p", "q", None]), st.integers(0, 4)),
+    st.tuples(
+        st.integers(0, 3), st.sampled_from(["x", "y", None]), st.sampled_from(["p", "q", None]), st.integers(0, 4)
+    ),
     min_size=1,
     max_size=25,
 )
