@@ -1,32 +1,43 @@
-"""Event CSVs to one consolidated CSV data set, and from it one table per access path."""
+"""Event CSVs to one consolidated CSV data set, and one table per access path."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from playlake.operators import serving
-from playlake.schemas import EVENT_CSV
+from playlake.schemas import CONSOLIDATED_POSITIONS, EVENT_CSV
 from playlake.sinks.files import write_csv_quoted, write_parquet
 from playlake.sources.files import read_csv
+from playlake.storage import materialize
 
+CONSOLIDATED = StructType([EVENT_CSV[i] for i in CONSOLIDATED_POSITIONS])
 
-def consolidate(spark: SparkSession, csv_path: str, out: str) -> DataFrame:
-    """Write the kept rows and columns of all CSVs below ``csv_path`` to ``out`` and read them back."""
+
+def consolidate(spark: SparkSession, csv_path: str, out: str, staging: str | None = None) -> DataFrame:
+    """Write the kept rows and columns of all CSVs below ``csv_path`` as one data set to ``out`` and return the rows.
+
+    The CSVs are parsed once, into Parquet at ``staging``, which is what the returned rows are read from.
+    """
     events = read_csv(spark, csv_path, EVENT_CSV, recursive=True, name_glob="*.csv")
-    kept = serving.at_positions(serving.with_artist(events))
+    kept = materialize(serving.at_positions(serving.with_artist(events)), "consolidated", staging)
     write_csv_quoted(kept, out)
-    back = read_csv(spark, out, kept.schema)
-    return back.select(
+    return kept
+
+
+def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
+    """A consolidated CSV data set. Empty text is null: every field is quoted, so the file does not tell them apart."""
+    rows = read_csv(spark, path, CONSOLIDATED)
+    return rows.select(
         *[
             F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, StringType) else f.name
-            for f in kept.schema
+            for f in CONSOLIDATED
         ]
     )
 
 
 def build_serving(spark: SparkSession, csv_path: str, out: str) -> dict[str, DataFrame]:
     """Write the consolidated CSV and the three query-first tables below ``out`` and return them as read back."""
-    events = consolidate(spark, csv_path, f"{out}/events_csv")
-    tables = {"events_csv": events}
+    events = consolidate(spark, csv_path, f"{out}/events_csv", f"{out}/staging")
+    tables = {"events_csv": read_consolidated(spark, f"{out}/events_csv")}
     for name in serving.TABLES:
         rows = serving.serve(events, name)
         write_parquet(rows, f"{out}/{name}")

@@ -7,7 +7,7 @@ from playlake import schemas, sinks, sources
 from playlake.functions.timeparts import start_time
 from playlake.operators import serving
 from playlake.operators.profile import count_rows
-from playlake.plans.serving import consolidate
+from playlake.plans.serving import consolidate, read_consolidated
 from playlake.storage import fresh_path
 from playlake.workload.analogues import WITH, raw_events, staged_events, staged_songs, table
 from playlake.workload.registry import query
@@ -293,7 +293,9 @@ CONSOLIDATED = (
     WITH + CONSOLIDATED.replace("artist,", "replace(artist, ' (live)', ' \"live\", at home') AS artist,", 1),
 )
 def sink_csv_quoted(spark, sf_dir):
-    return consolidate(spark, write_csvs(spark, sf_dir), fresh_path(spark, "consolidated"))
+    path = fresh_path(spark, "consolidated")
+    consolidate(spark, write_csvs(spark, sf_dir), path)
+    return read_consolidated(spark, path)
 
 
 @query("count_csv_rows", WITH + "SELECT count(*) AS n_rows, true AS has_headers FROM ev WHERE artist IS NOT NULL")

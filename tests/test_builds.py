@@ -10,6 +10,7 @@ import pytest
 from playlake.__main__ import main
 from playlake.operators import quality
 from playlake.plans import build_lake, build_warehouse
+from playlake.plans.serving import read_consolidated
 from playlake.schemas import SONGPLAYS
 from playlake.sinks import create_database
 from tests.rows import event, song, tuples
@@ -114,5 +115,8 @@ def test_serving(spark, out, capsys):
     printed = capsys.readouterr().out
     assert "events_csv: 2 rows" in printed and "song_users: 1 rows" in printed
     assert tuples(spark.read.parquet(out + "/serving/song_users")) == [("Hey", 7, "Flora", "Lee")]
+    assert tuples(read_consolidated(spark, out + "/serving/events_csv")) == tuples(
+        spark.read.parquet(out + "/serving/staging")
+    )
     items = spark.read.parquet(out + "/serving/session_item")
     assert tuples(items, "itemInSession", "artist") == [(1, 'The "Q"'), (2, "Ann")]
