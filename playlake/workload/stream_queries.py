@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from playlake.functions.casts import conform
 from playlake.operators import dims, facts, upsert as up
 from playlake.plans.star import artist_rows, user_rows
-from playlake.schemas import EVENT_LOG
+from playlake.schemas import EVENT_LOG, STAGING_EVENTS
 from playlake.storage import fresh_path
 from playlake.streaming import incremental, topics
 from playlake.workload.analogues import PAGE, WITH, staged_log, staged_songs, table
@@ -70,27 +71,36 @@ def stream_replay(spark, sf_dir):
     return counts.agg(F.count("*").alias("n_messages"), F.count_distinct("key").alias("n_keys"))
 
 
-def load_daily_logs(spark, sf_dir: str) -> dict:
-    """The daily logs, about a quarter of the files per batch, in the order the files were written."""
-    songs = staged_songs(spark, sf_dir)
-    artists = up.upsert(artist_rows(songs), up.ARTISTS_RULE)
-    catalog = facts.song_catalog(up.upsert(songs.select(*dims.SONG_COLUMNS), up.SONGS_RULE), artists)
-    logs, out = write_daily_logs(spark, sf_dir), fresh_path(spark, "star")
+def stream_daily_logs(spark, sf_dir: str):
+    """The daily logs as a stream, about a quarter of the files per batch, in the order the files were written."""
+    logs = write_daily_logs(spark, sf_dir)
     n_files = len(spark.read.schema(EVENT_LOG).option("recursiveFileLookup", True).json(logs).inputFiles())
-    stream = incremental.read_files(spark, logs, EVENT_LOG, files_per_trigger=max(1, n_files // 4))
-    load = incremental.star_batches(catalog, out, PAGE)
-    incremental.run_batches(stream, load, fresh_path(spark, "checkpoint")).awaitTermination()
-    return incremental.current_star(spark, out)
+    return incremental.read_files(spark, logs, EVENT_LOG, files_per_trigger=max(1, n_files // 4))
 
 
 @query("stream_file_upsert", USERS_SQL)
 def stream_file_upsert(spark, sf_dir):
-    return load_daily_logs(spark, sf_dir)["users"]
+    """One table, upserted file by file."""
+    path = fresh_path(spark, "users")
+    load = incremental.upsert_batches(
+        up.USERS_RULE, path, lambda batch: user_rows(conform(dims.plays(batch, PAGE), STAGING_EVENTS))
+    )
+    stream = stream_daily_logs(spark, sf_dir)
+    incremental.run_batches(stream, load, fresh_path(spark, "checkpoint")).awaitTermination()
+    return incremental.current_table(spark, path, up.USERS_RULE)
 
 
 @query("stream_file_songplays", WITH + f"SELECT {MILLI}, {MATCHED} FROM {LOOKUP}")
 def stream_file_songplays(spark, sf_dir):
-    return load_daily_logs(spark, sf_dir)["songplays"].drop("songplay_id")
+    """Users, times and plays, taken in together file by file; here the plays."""
+    songs = staged_songs(spark, sf_dir)
+    artists = up.upsert(artist_rows(songs), up.ARTISTS_RULE)
+    catalog = facts.song_catalog(up.upsert(songs.select(*dims.SONG_COLUMNS), up.SONGS_RULE), artists)
+    out = fresh_path(spark, "star")
+    load = incremental.star_batches(catalog, out, PAGE)
+    stream = stream_daily_logs(spark, sf_dir)
+    incremental.run_batches(stream, load, fresh_path(spark, "checkpoint")).awaitTermination()
+    return incremental.current_star(spark, out)["songplays"].drop("songplay_id")
 
 
 @query("stream_upsert_compacted", USERS_SQL)
