@@ -8,10 +8,10 @@ from tests.conftest import SMALL
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.ORACLES))
 def test_query(spark, name):
     assert difference(spark, SMALL, entry.queries()[name], entry.oracle_sql()[name]) is None
 
