@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, secrets, shuffle_shards
+from playlake.llm import bpe, secrets, shuffle_shards, simhash
 from playlake.llm.common import table
 from playlake.workload.registry import Query
 
@@ -67,3 +67,9 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@register
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and the component of its near copies."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"), "doc_id", "text", words=4, radius=4)
