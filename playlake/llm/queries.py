@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, secrets, shuffle_shards, simhash
+from playlake.llm import bpe, secrets, shuffle_shards, simhash, suffix_dedup
 from playlake.llm.common import table
 from playlake.workload.registry import Query
 
@@ -73,3 +73,10 @@ def op10_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every text and the component of its near copies."""
     return simhash.near_copies(table(spark, sf_dir, "documents"), "doc_id", "text", words=4, radius=4)
+
+
+@register
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without byte strings of 400 that start anywhere else too."""
+    kept = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", 400, from_scan=True)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
