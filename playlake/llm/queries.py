@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, secrets, shuffle_shards, simhash, suffix_dedup
+from playlake.llm import bpe, graph_ann, secrets, shuffle_shards, simhash, suffix_dedup
 from playlake.llm.common import table
 from playlake.workload.registry import Query
 
@@ -80,3 +80,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without byte strings of 400 that start anywhere else too."""
     kept = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", 400, from_scan=True)
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register
+def op9_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector."""
+    return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
