@@ -3,8 +3,9 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, graph_ann, secrets, shuffle_shards, simhash, suffix_dedup
+from playlake.llm import bpe, graph_ann, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup
 from playlake.llm.common import table
+from playlake.storage import materialize
 from playlake.workload.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -86,3 +87,33 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector."""
     return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+#: Documents scored at least this much are predicted to have label 1.
+KEEP_FROM = 0.3
+
+
+def held_out(doc_id: str):
+    """Rows that no label is learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
+
+
+def quality_rules(spark: SparkSession, features: DataFrame, sf_dir: str) -> rule_ensemble.Ensemble:
+    """Rules for ``labels.quality``, learned from all labelled rows of ``features`` that are not held out."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), "quality").filter("quality is not null")
+    rows = features.filter(~held_out("doc_id")).join(labels, F.col("doc_id") == F.col("labelled"))
+    return rule_ensemble.fit(rows, "quality")
+
+
+def quality_features(docs: DataFrame) -> DataFrame:
+    statistics = rule_ensemble.statistics(F.col("text"))
+    return materialize(docs.select("doc_id", *[c.alias(name) for name, c in statistics.items()]), "statistics")
+
+
+@register
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text."""
+    features = quality_features(table(spark, sf_dir, "documents"))
+    rules = quality_rules(spark, features, sf_dir)
+    scored = features.select("doc_id", rules.score({name: F.col(name) for name in rule_ensemble.NAMES}).alias("score"))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
