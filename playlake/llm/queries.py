@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, graph_ann, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup
+from playlake.llm import bpe, graph_ann, latent_decon, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup
 from playlake.llm.common import table
 from playlake.storage import materialize
 from playlake.workload.registry import Query
@@ -117,3 +117,12 @@ def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules(spark, features, sf_dir)
     scored = features.select("doc_id", rules.score({name: F.col(name) for name in rule_ensemble.NAMES}).alias("score"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
+
+
+@register
+def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and how much of it; documents without one have no row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    finder = latent_decon.Decontaminator(docs, F.col("text"), table(spark, sf_dir, "benchmark"))
+    found = docs.select("doc_id", F.explode(finder.leaks(F.col("text"))).alias("leak"))
+    return found.select("doc_id", "leak.item_id", "leak.cosine", "leak.share", "leak.answer_share")
