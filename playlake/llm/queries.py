@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, graph_ann, latent_decon, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup
+from playlake.llm import bpe, graph_ann, latent_decon, page_diff, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup, url_filter
 from playlake.llm.common import table
 from playlake.storage import materialize
 from playlake.workload.registry import Query
@@ -126,3 +126,27 @@ def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     finder = latent_decon.Decontaminator(docs, F.col("text"), table(spark, sf_dir, "benchmark"))
     found = docs.select("doc_id", F.explode(finder.leaks(F.col("text"))).alias("leak"))
     return found.select("doc_id", "leak.item_id", "leak.cosine", "leak.share", "leak.answer_share")
+
+
+# The rules of the URL filter.
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@register
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: by the longest rule that fits, else by the character models."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), "url", URL_RULES)
+    return judged.select(F.col("row.c0").alias("page_id"), "host", "path", "rule", "verdict", "score")
+
+
+@register
+def op3_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = page_diff.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "url", "html")
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
