@@ -1,10 +1,35 @@
-"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns documents."""
+"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns documents.
+
+In all of them null texts count as empty, rows with null or repeated ids are documents of their own, an empty table stays empty, and further
+columns of ``docs`` are carried along whatever their names.
+"""
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, secrets
-from playlake.llm.common import quoted, unused
+from playlake.llm import bpe, latent_decon, rule_ensemble, secrets, simhash
+from playlake.llm.common import quoted, table, unused
+from playlake.llm.queries import KEEP_FROM, quality_features, quality_rules
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose quality score is at least ``KEEP_FROM``. The rules are learned from labelled documents of ``docs``."""
+    rules = quality_rules(spark, quality_features(docs), sf_dir)
+    names = {name: unused(docs, f"_{name}") for name in rule_ensemble.NAMES}
+    statistics = rule_ensemble.statistics(F.col("text"))
+    measured = docs.select("*", *[statistics[name].alias(column) for name, column in names.items()])
+    return measured.filter(rules.score({name: F.col(column) for name, column in names.items()}) >= KEEP_FROM).select(*map(quoted, docs.columns))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id."""
+    return simhash.one_of_each(docs, "doc_id", "text", words=4, radius=4)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no item of the benchmark."""
+    finder = latent_decon.Decontaminator(docs, F.col("text"), table(spark, sf_dir, "benchmark"))
+    return docs.filter(F.size(finder.leaks(F.col("text"))) == 0).select(*map(quoted, docs.columns))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,4 +51,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return checked.withColumn(n, bpe.n_ids(F.col(quoted(ids)))).drop(decoded)
 
 
-STAGES = [("secrets", hide_secrets), ("byte_bpe", encode)]
+STAGES = [
+    ("quality", good_quality),
+    ("near_copies", one_of_each),
+    ("benchmark", decontaminated),
+    ("secrets", hide_secrets),
+    ("byte_bpe", encode),
+]
