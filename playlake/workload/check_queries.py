@@ -89,6 +89,20 @@ def check_fk_keys(spark, sf_dir):
     return quality.orphan_keys(table(spark, sf_dir, "orders"), "o_custkey", customers, "c_custkey")
 
 
+@query(
+    "check_fk_mixed_types",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL"
+    f" AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE {IN_CREDIT})",
+)
+def check_fk_mixed_types(spark, sf_dir):
+    """Decimals of one scale refer to decimals of another."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    child = orders.withColumn("o_custkey", F.col("o_custkey").cast("decimal(20,2)"))
+    parent = table(spark, sf_dir, "customer").filter(IN_CREDIT).select(F.col("c_custkey").cast("decimal(24,4)").alias("c_custkey"))
+    missing = quality.orphan_rows(child, "o_custkey", parent, "c_custkey")
+    return missing.select("o_orderkey", F.col("o_custkey").cast("bigint").alias("o_custkey"))
+
+
 DELETES = (
     "SELECT concat('DELETE FROM shop.orders WHERE o_orderkey=', o_orderkey, ' AND \"status\"=''', o_orderstatus, ''';')"
     " AS {name} FROM orders"
@@ -129,6 +143,21 @@ def delete_by_keys(spark, sf_dir):
     return spark.read.schema(left.schema).parquet(path)
 
 
+@query(
+    "delete_by_keys_mixed_types",
+    "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem d WHERE"
+    " d.l_returnflag = 'R' AND d.l_orderkey = l.l_orderkey AND d.l_linenumber = l.l_linenumber)",
+)
+def delete_by_keys_mixed_types(spark, sf_dir):
+    """Keys given as integers, and as numbers with a fraction, delete rows whose keys are wider."""
+    lines = table(spark, sf_dir, "lineitem")
+    returned = lines.filter("l_returnflag = 'R'").select(
+        F.col("l_orderkey").cast("int").alias("l_orderkey"), F.col("l_linenumber").cast("double").alias("l_linenumber")
+    )
+    kept = lines.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), "l_linenumber", "l_quantity")
+    return statements.delete_by_keys(kept, returned, ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "lookup_param",
     WITH + "SELECT song_id, artist_id FROM songs WHERE artist_name = 'Brand#7' AND year = 0 AND num_songs = 1",
