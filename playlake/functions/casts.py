@@ -8,17 +8,27 @@ def lenient(column: Column, source_type, target_type) -> Column:
     if source_type == target_type:
         return column
     if isinstance(target_type, IntegralType) and isinstance(source_type, StringType):
-        # Text such as "1970.0" is a whole number too; a plain integer keeps its exact value.
-        return F.coalesce(column.try_cast(target_type), column.try_cast("double").try_cast(target_type))
+        # Text such as "1970.0" or "1.5E3" is a whole number too, "3.7" is none; decimals keep every digit.
+        exact = column.try_cast("decimal(38,18)")
+        return F.coalesce(column.try_cast(target_type), F.when(exact == F.floor(exact), exact.try_cast(target_type)))
     return column.try_cast(target_type)
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` to ``schema`` by name, casting each column; a missing column is null."""
+def strict(column: Column, source_type, target_type, name: str) -> Column:
+    """As :func:`lenient`, but a value that does not fit stops the job."""
+    cast = lenient(column, source_type, target_type)
+    unfit = F.raise_error(F.concat(F.lit(f"a value does not fit column {name}: "), column.cast("string")))
+    return F.when(column.isNotNull() & cast.isNull(), unfit.cast(target_type)).otherwise(cast)
+
+
+def conform(df: DataFrame, schema: StructType, unfit: str = "null") -> DataFrame:
+    """Project ``df`` to ``schema`` by name, casting each column; a missing column is null. ``unfit`` says what becomes of a value
+    that does not fit its type: "null", or "fail" to stop the job."""
+    cast = strict if unfit == "fail" else lambda column, source, target, _: lenient(column, source, target)
     present = {field.name: field.dataType for field in df.schema}
     return df.select(
         *[
-            lenient(F.col(f"`{f.name}`"), present[f.name], f.dataType).alias(f.name)
+            cast(F.col(f"`{f.name}`"), present[f.name], f.dataType, f.name).alias(f.name)
             if f.name in present
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema

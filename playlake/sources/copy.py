@@ -5,7 +5,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from playlake.functions.casts import conform, lenient
+from playlake.functions.casts import conform, lenient, strict
 
 _STEP = re.compile(r"\['([^']+)'\]|\.([A-Za-z_]\w*)")
 
@@ -40,11 +40,11 @@ def _text_schema(key_lists: list[tuple[str, ...]]) -> StructType | None:
 
 
 def copy_by_paths(
-    spark: SparkSession, path: str | list[str], json_paths, schema: StructType, fail: bool = True
+    spark: SparkSession, path: str | list[str], json_paths, schema: StructType, fail: bool = True, unfit: str = "null"
 ) -> DataFrame:
     """JSON lines loaded by position: the n-th JSONPath fills the n-th column, cast to its type.
 
-    A value that does not fit the type, such as an empty user id, is null. A line that is no JSON fails the load, or
+    A value that does not fit the type, such as an empty user id, is null, or stops the load with ``unfit="fail"``. A line that is no JSON fails the load, or
     without ``fail`` gives nulls. Paths made of object keys are read in one pass by the JSON scan, which parses only
     those keys; other paths are taken from each line's text.
     """
@@ -62,21 +62,29 @@ def copy_by_paths(
             damaged = line.isNotNull() & F.try_parse_json(line).isNull()
             line = F.when(damaged, F.raise_error(F.lit("a line is no JSON"))).otherwise(line)
         values = [F.get_json_object(line, p) for p in json_paths]
+    if unfit == "fail":
+        return lines.select(*[strict(v, StringType(), f.dataType, f.name).alias(f.name) for v, f in zip(values, schema.fields)])
     return lines.select(
         *[lenient(v, StringType(), f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
     )
 
 
 def copy_by_name(
-    spark: SparkSession, path: str | list[str], schema: StructType, object_files: bool = False, fail: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType,
+    object_files: bool = False,
+    fail: bool = True,
+    unfit: str = "null",
 ) -> DataFrame:
     """JSON lines, or one object per file, loaded by field name: missing fields are null, extra fields ignored.
 
-    Text that is no JSON fails the load, or without ``fail`` gives nulls.
+    Text that is no JSON fails the load, or without ``fail`` gives nulls. A value that does not fit its column is null, or
+    stops the load with ``unfit="fail"``.
     """
     text = StructType([StructField(f.name, StringType()) for f in schema])
     reader = spark.read.schema(text).option("multiLine", object_files).option("mode", _mode(fail))
-    return conform(reader.json(path), schema)
+    return conform(reader.json(path), schema, unfit)
 
 
 def _mode(fail: bool) -> str:

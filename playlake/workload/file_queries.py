@@ -176,6 +176,22 @@ def copy_auto(spark, sf_dir):
     return sources.copy_by_name(spark, path, schemas.STAGING_SONGS)
 
 
+@query(
+    "copy_unfit_values",
+    "SELECT CAST(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderkey END AS BIGINT) AS id,"
+    " CAST(9007199254740993 + o_orderkey AS BIGINT) AS large FROM orders",
+)
+def copy_unfit_values(spark, sf_dir):
+    """Numbers as text: whole ones load whatever their form and size, fractions are null in a whole-number column."""
+    path = fresh_path(spark, "unfit")
+    key = F.col("o_orderkey").cast("string")
+    orders = table(spark, sf_dir, "orders")
+    form = F.when(F.col("o_orderkey") % 3 == 0, F.concat(key, F.lit(".7"))).when(F.col("o_orderkey") % 3 == 1, F.concat(key, F.lit(".0")))
+    large = F.concat((F.col("o_orderkey") + 9007199254740993).cast("string"), F.lit(".0"))
+    orders.select(F.coalesce(form, key).alias("id"), large.alias("large")).write.json(path)
+    return sources.copy_by_name(spark, path, StructType().add("id", LongType()).add("large", LongType()))
+
+
 def write_song_table(spark, sf_dir: str) -> str:
     path = fresh_path(spark, "songs")
     songs = staged_songs(spark, sf_dir).select("song_id", "title", "artist_id", "year", "duration")
