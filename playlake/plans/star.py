@@ -46,13 +46,14 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """Write the five tables below ``out`` and return them as read back; dimensions are written before the fact.
 
-    ``violations`` among the returned counts broken keys, references and row rules per table, when it is read.
+    ``violations`` among the returned counts broken keys, references and row rules per table, when it is read;
+    ``rejected_songs`` and ``rejected_events`` are the damaged rows that no table holds.
     """
     read_songs = read_json_objects if object_files else read_json_lines
-    songs_raw, _ = split_corrupt(
+    songs_raw, bad_songs = split_corrupt(
         read_songs(spark, song_path, SONG_META, CORRUPT_COLUMN), path=f"{out}/staging/songs"
     )
-    log, _ = split_corrupt(
+    log, bad_events = split_corrupt(
         read_json_lines(spark, log_path, EVENT_LOG, CORRUPT_COLUMN, recursive=True), path=f"{out}/staging/events"
     )
     plays = conform(dims.plays(log, page), STAGING_EVENTS)
@@ -67,7 +68,8 @@ def build_star(
     numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], from_scan=True)
     write_parquet(songplay_facts(numbered, facts.first_song(catalog)), f"{out}/songplays")
     tables["songplays"] = spark.read.schema(STAR["songplays"]).parquet(f"{out}/songplays")
-    return tables | {"violations": violations(tables)}
+    rejected = {"rejected_songs": bad_songs, "rejected_events": bad_events}
+    return tables | rejected | {"violations": violations(tables)}
 
 
 def violations(tables: dict[str, DataFrame]) -> DataFrame:
