@@ -1,6 +1,7 @@
 """Row ids."""
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 from playlake.storage import materialize, with_place
 
@@ -29,12 +30,15 @@ def serial_ids(
     The rows are range-partitioned by the order and numbered within each partition; the sizes of the partitions before
     give each partition its offset. No task sees more than one range, and only one row per partition is broadcast.
 
-    Say ``unique`` if no two rows are alike in ``order_by``. Otherwise each row gets a tie-breaker, so that a range
+    Say ``unique`` if no two rows are alike in ``order_by``. Otherwise ties are ordered by all other columns, so that ids do not
+    depend on how a scan is split: rows that are still tied are copies of each other. These get a tie-breaker, so that a range
     boundary can fall within a large group of equal rows; see :func:`playlake.storage.with_place`.
     """
     columns = df.columns
     order = list(order_by)
     if not unique:
+        named = {c.lower() for c in order}
+        order += [f"`{f.name}`" for f in df.schema if f.name.lower() not in named and not isinstance(f.dataType, MapType)]
         df = with_place(df, "_tie", from_scan)
         order.append("_tie")
     slot = F.monotonically_increasing_id()

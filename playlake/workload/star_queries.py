@@ -74,20 +74,24 @@ def songplays_title_artist(spark, sf_dir):
     return facts.with_year_month(facts.songplay_rows(matched))
 
 
-@query("songplays_sql", WITH + f"SELECT DISTINCT {SECOND}, {MATCHED} FROM {BOTH}")
-def songplays_sql(spark, sf_dir):
-    """In SQL, the page tested within the join condition: the optimizer takes it to the scan."""
+@query(
+    "large_lines_sql",
+    """
+    SELECT o_orderpriority, l_returnflag, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+    FROM orders, lineitem WHERE o_orderkey = l_orderkey AND l_quantity >= 30 GROUP BY ALL
+    """,
+)
+def large_lines_sql(spark, sf_dir):
+    """In SQL, the quantity tested within the join condition: the optimizer takes it to the scan."""
     return spark.sql(
         """
-        SELECT DISTINCT
-            timestamp_ntz'1970-01-01' + (e.ts div 1000) * INTERVAL '1' SECOND AS start_time,
-            e.userId AS user_id, e.level, s.song_id, s.artist_id, e.sessionId AS session_id, e.location,
-            e.userAgent AS user_agent
-        FROM {songs} s JOIN {events} e ON s.title = e.song AND e.artist = s.artist_name AND e.page = :page
+        SELECT o_orderpriority, l_returnflag, count(*) AS n_lines, sum(CAST(l_quantity AS BIGINT)) AS quantity
+        FROM {orders} INNER JOIN {lines} ON l_quantity >= :least AND l_orderkey = o_orderkey
+        GROUP BY o_orderpriority, l_returnflag
         """,
-        args={"page": PAGE},
-        songs=staged_songs(spark, sf_dir),
-        events=staged_events(spark, sf_dir),
+        args={"least": 30},
+        orders=table(spark, sf_dir, "orders"),
+        lines=table(spark, sf_dir, "lineitem"),
     )
 
 
@@ -147,10 +151,12 @@ def songplays_serial(spark, sf_dir):
 
 @query(
     "lineitem_serial_ties",
-    "SELECT CAST(row_number() OVER (ORDER BY l_shipdate) AS BIGINT) AS line_id, l_shipdate FROM lineitem",
+    "SELECT CAST(row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity) AS BIGINT) AS line_id,"
+    " l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem",
 )
 def lineitem_serial_ties(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_shipdate")
+    """Rows with one date are numbered in the order of their other columns."""
+    rows = table(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
     return ids.serial_ids(rows, ["l_shipdate"], "line_id", from_scan=True)
 
 
@@ -192,32 +198,26 @@ def time_star(spark, sf_dir):
 
 
 @query(
-    "time_sql",
-    WITH
-    + f"SELECT start_time, {parts_sql('CAST(dayofweek(start_time) + 1 AS INT)')}"
-    f" FROM (SELECT DISTINCT {SECOND} FROM ev)",
+    "order_slots_sql",
+    """
+    SELECT o_orderkey, s AS opens, s + INTERVAL 90 MINUTE AS closes, CAST(hour(s + INTERVAL 90 MINUTE) AS INT) AS closing_hour
+    FROM (SELECT o_orderkey, TIMESTAMP '1970-01-01' + to_seconds(o_orderkey * 1800) AS s FROM orders)
+    """,
 )
-def time_sql(spark, sf_dir):
-    """In SQL: an epoch and an interval give the start time, and its parts refer to it by name in the same list."""
+def order_slots_sql(spark, sf_dir):
+    """In SQL: an epoch and intervals give times, and later columns of the list refer to earlier ones by name."""
     return spark.sql(
         """
-        SELECT DISTINCT
-            timestamp_ntz'1970-01-01' + (ts div 1000) * INTERVAL '1' SECOND AS start_time,
-            extract(HOUR FROM start_time) AS hour,
-            extract(DAY FROM start_time) AS day,
-            extract(WEEKS FROM start_time) AS week,
-            extract(MONTH FROM start_time) AS month,
-            extract(YEAR FROM start_time) AS year,
-            extract(DAYOFWEEK FROM start_time) AS weekday
-        FROM {log}
+        SELECT o_orderkey,
+               timestamp_ntz'1970-01-01' + o_orderkey * INTERVAL '30' MINUTE AS opens,
+               opens + INTERVAL '90' MINUTE AS closes,
+               hour(closes) AS closing_hour
+        FROM {orders}
         """,
-        log=staged_log(spark, sf_dir),
+        orders=table(spark, sf_dir, "orders"),
     )
 
 
-# Distinct dimensions
-
-
 @query(
     "users_distinct",
     WITH
