@@ -4,23 +4,26 @@ The rank of a place at length 2L is the pair of its rank at L and the rank L byt
 shares is dropped from then on. Ranks are 64-bit identities instead of ordinals, so that a task can pair them by itself; Spark
 shuffles and compares them at three lengths only, and only what may still be repeated:
 
-1. Every string of ``n_bytes`` is represented by the least rank at length G (a power of two, at least a quarter of ``n_bytes``) inside it, its anchor. Equal
-   strings have equal anchors, and neighbouring strings mostly share theirs: there is one row per run of strings with one
-   anchor, some hundred bytes apart. Runs whose anchor rank is unique are dropped, and most of the corpus with them.
+1. Every string of ``n_bytes`` is represented by the least rank at length G (a power of two, at most a sixth of ``n_bytes``)
+   inside it, its anchor. Equal strings have equal anchors, and neighbouring strings mostly share theirs: there is one row
+   per run of strings with one anchor, some hundred bytes apart. Runs whose anchor rank is unique are dropped, and most of the corpus with them.
 2. Runs that are equal as a whole are repeated, all their strings. One of them stands for all.
-3. Where runs share an anchor rank but differ, the strings inside are compared one by one, at length ``n_bytes`` itself (two ranks
-   of different seeds, 128 bits).
+3. Where runs share an anchor rank but differ, their strings are compared at length ``n_bytes`` itself (two ranks of different
+   seeds, 128 bits): the bytes of up to ``TOGETHER`` different runs of an anchor rank meet in a task; of larger groups every
+   string is a row, and Spark counts equal ranks.
 
-A rank or anchor that half of the documents share is one row per run or string, counted before the shuffle; no task sees all rows of a
-rank. Null and empty texts have nothing removed. Rows with repeated or null ids are rows of their own, and repeated rows are
+An anchor that half of the documents share is one row per run, counted before the shuffle; no task sees all rows of a rank. Texts
+travel compressed. Null and empty texts have nothing removed. Rows with repeated or null ids are rows of their own, and repeated rows are
 repeats of each other.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
@@ -29,6 +32,10 @@ from playlake.storage import materialize, with_place
 
 #: Strings of one document that are ranked at once.
 SEGMENT = 1 << 19
+#: Different runs of one anchor rank whose bytes are compared in one task.
+TOGETHER = 1024
+#: Bytes of runs that are ranked at once, besides what is left of the last group; texts whose runs leave a task at once.
+COMPARED, HANDED_ON = 1 << 20, 500
 _PLACE = np.uint64((1 << 20) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -60,7 +67,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_length(n_bytes: int) -> int:
-    return 1 << max((n_bytes // 3).bit_length() - 1, 0)
+    return 1 << max((n_bytes // 6).bit_length() - 1, 0)
 
 
 def runs(data: np.ndarray, n_bytes: int) -> list[tuple[int, int, int]]:
@@ -84,30 +91,103 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode()
 
 
+def _compressed(text: Column) -> Column:
+    @F.pandas_udf(BinaryType())
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: zstandard.compress(_bytes(t), 1))
+
+    return of(F.coalesce(text, F.lit("")))
+
+
 def _find_runs(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for row, text in zip(batch["row"].tolist(), batch["text"]):
+    """Each run's anchor rank, the hash of all its bytes, and (first string, strings) in one number."""
+    for batch in _slices(batches, HANDED_ON):
+        rank, whole, row, run = [], [], [], []
+        for number, text in zip(batch["row"].tolist(), batch["text"]):
             raw = _bytes(text)
             if len(raw) >= n_bytes:
-                for rank, first, count in runs(np.frombuffer(raw, np.uint8), n_bytes):
-                    whole = xxhash.xxh3_128_digest(raw[first : first + count + n_bytes - 1])
-                    rows.append((rank, int.from_bytes(whole[:8], "big", signed=True), int.from_bytes(whole[8:], "big", signed=True), row, first, count))
-        yield pd.DataFrame(rows, columns=["rank", "w1", "w2", "row", "first", "n"]).astype("int64")
+                for anchor, first, count in runs(np.frombuffer(raw, np.uint8), n_bytes):
+                    rank.append(anchor)
+                    whole.append(xxhash.xxh3_64_intdigest(raw[first : first + count + n_bytes - 1]))
+                    row.append(number)
+                    run.append(first << 32 | count)
+        whole = np.array(whole, dtype=np.uint64).view(np.int64)
+        yield pd.DataFrame({"rank": rank, "whole": whole, "row": row, "run": run}).astype("int64")
 
 
-def _find_strings(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
-    """Both ranks of every string in the listed runs."""
+def _slices(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
+def _string_ranks(parts: list[bytes], n_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every string in the parts: two ranks, the number of its part, and its place there."""
+    sizes = np.array([len(p) for p in parts])
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    part = np.repeat(np.arange(len(parts)), sizes)[: len(data) - n_bytes + 1]
+    at = np.arange(len(part)) - (np.cumsum(sizes) - sizes)[part]
+    inside = at + n_bytes <= sizes[part]
+    a, b = (ranks(data, n_bytes, seed).view(np.int64)[inside] for seed in (1, 2))
+    return a, b, part[inside], at[inside]
+
+
+def _open_runs(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
+    """The listed runs of each text: their bytes, or their strings' ranks where the list says that the group is large."""
+    for batch in _slices(batches, HANDED_ON):
+        whole, single = [], []
         for row, text, listed in zip(batch["row"].tolist(), batch["text"], batch["runs"]):
-            raw, parts = np.frombuffer(_bytes(text), np.uint8), []
-            for packed in np.asarray(listed, dtype=np.int64).tolist():
-                first, count, copied = packed >> 32, (packed >> 1) & 0x7FFFFFFF, packed & 1
-                data = raw[first : first + count + n_bytes - 1]
-                a, b = (ranks(data, n_bytes, seed).view(np.int64) for seed in (1, 2))
-                parts.append(pd.DataFrame({"h1": a, "h2": b, "row": row, "at": np.arange(first, first + count), "copied": copied}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True).astype("int64")
+            raw = zstandard.decompress(text)
+            for run in listed:
+                first, count = run["run"] >> 32, run["run"] & 0xFFFFFFFF
+                part = raw[first : first + count + n_bytes - 1]
+                if run["large"]:
+                    a, b, _, at = _string_ranks([part], n_bytes)
+                    single.append(pd.DataFrame({"rank": a, "h2": b, "row": row, "first": at + first, "copied": run["copied"], "data": None}))
+                else:
+                    whole.append((run["rank"], 0, row, first, run["copied"], part))
+        if whole:
+            single.append(pd.DataFrame(whole, columns=["rank", "h2", "row", "first", "copied", "data"]))
+        if single:
+            yield pd.concat(single, ignore_index=True)
+
+
+def _compare(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
+    """Strings that stand in two runs of a group, or in one that has copies, as (row, run). Partitions are sorted by rank."""
+    rest = None
+    for batch in chain(_slices(batches, 2 * TOGETHER), [None]):
+        if batch is not None:
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if rest is None or not len(rest):
+            continue
+        rank = rest["rank"].to_numpy()
+        # The last group may go on in the next batch.
+        until = len(rest) if batch is None else int(np.searchsorted(rank, rank[-1]))
+        sizes, begin = np.cumsum(rest["data"].map(len).to_numpy()), 0
+        while begin < until:
+            most = np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + COMPARED, "right")
+            end = int(np.searchsorted(rank[:until], rank[min(max(most, begin + 1), until) - 1], "right"))  # whole groups
+            yield _same_strings(rest.iloc[begin:end], n_bytes)
+            begin = end
+        rest = rest.iloc[until:]
+
+
+def _same_strings(group: pd.DataFrame, n_bytes: int) -> pd.DataFrame:
+    a, b, part, at = _string_ranks(group["data"].tolist(), n_bytes)
+    copied = group["copied"].to_numpy()[part] > 0
+    order = np.lexsort((b, a))
+    change = np.flatnonzero((np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)) + 1
+    begin = np.concatenate(([0], change))
+    many = np.diff(np.concatenate((begin, [len(order)])))
+    same = np.repeat((many > 1) | np.logical_or.reduceat(copied[order], begin), many)
+    hit = order[same & ~copied[order]]
+    row, place = group["row"].to_numpy()[part[hit]], group["first"].to_numpy()[part[hit]] + at[hit]
+    order = np.lexsort((place, row))
+    row, place = row[order], place[order]
+    first = np.concatenate(([True], (np.diff(row) != 0) | (np.diff(place) != 1))) if len(row) else np.zeros(0, dtype=bool)
+    starts = np.flatnonzero(first)
+    lengths = np.diff(np.concatenate((starts, [len(row)])))
+    return pd.DataFrame({"row": row[starts], "hit": place[starts] << 32 | lengths})
 
 
 def removed(listed, n: int, n_bytes: int) -> list[tuple[int, int]]:
@@ -119,63 +199,66 @@ def removed(listed, n: int, n_bytes: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.concatenate(([0], cut))].tolist(), ends[np.concatenate((cut - 1, [len(ends) - 1]))].tolist()))
 
 
-def kept_bytes(text: Column, listed: Column, n_bytes: int) -> Column:
-    """(kept, n_removed, n_spans) of a text and its repeated strings."""
+def _kept(packed: Column, listed: Column, n_bytes: int) -> Column:
+    """(kept, n_removed, n_spans) of a compressed text and its repeated strings."""
     result = StructType([StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
 
     @F.pandas_udf(result)
     def of(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
         rows = []
         for value, strings in zip(texts, lists):
-            raw = _bytes(value)
+            raw = zstandard.decompress(value)
             spans = removed(strings, len(raw), n_bytes) if strings is not None and len(strings) else []
             edges = [0, *(x for span in spans for x in span), len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
             rows.append((kept, len(raw) - len(kept), len(spans)))
         return pd.DataFrame(rows, columns=["kept", "n_removed", "n_spans"])
 
-    return of(F.coalesce(text, F.lit("")), listed)
-
-
-def _packed(first: str, n: str) -> Column:
-    return F.shiftleft(F.col(first), 32).bitwiseOR(F.col(n))
+    return of(packed, listed)
 
 
-def without_repeats(df: DataFrame, doc_id: str, text: str, n_bytes: int = 400, from_scan: bool = False) -> DataFrame:
+def without_repeats(
+    df: DataFrame, doc_id: str, text: str, n_bytes: int = 400, from_scan: bool = False, together: int = TOGETHER
+) -> DataFrame:
     """(``doc_id``, n_bytes, n_removed, n_spans, kept) for every row: ``kept`` are the bytes that no repeated string covers.
 
     ``from_scan`` says that ``df`` is a scan of files; otherwise it is written first, so that rows keep their places.
     """
     docs = with_place(df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "row", from_scan)
-    long = docs.filter(F.octet_length("text") >= n_bytes).select("row", "text")
-    schema = "rank long, w1 long, w2 long, row long, first long, n long"
-    every = materialize(long.mapInPandas(lambda b: _find_runs(b, n_bytes), schema), "runs")
+    long = docs.filter(F.octet_length("text") >= n_bytes)
+    every = long.select("row", "text").mapInPandas(lambda b: _find_runs(b, n_bytes), "rank long, whole long, row long, run long")
+    every = materialize(every, "runs")
 
     # 1. Anchor ranks of more than one run.
-    shared = every.groupBy(F.col("rank").alias("of")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    shared = every.groupBy(F.col("rank").alias("of")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("of")
     alive = materialize(skew_join(every, shared, {"rank": "of"}, "inner").select(*every.columns), "shared-runs")
 
-    # 2. Runs that are equal as a whole.
-    one = F.min(F.struct("row", "first", "n")).alias("one")
-    whole = materialize(alive.groupBy("rank", "w1", "w2").agg(F.count(F.lit(1)).alias("times"), one), "whole-runs")
-    copied = whole.filter("times > 1").select(F.col("rank").alias("r"), F.col("w1").alias("x1"), F.col("w2").alias("x2"))
-    repeated = skew_join(alive, copied, {"rank": "r", "w1": "x1", "w2": "x2"}, "inner").select("row", _packed("first", "n").alias("hit"))
+    # 2. Runs that are equal as a whole. The anchor rank and the hash of all bytes are 128 bits together.
+    one = F.min(F.struct("row", "run")).alias("one")
+    whole = materialize(alive.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("times"), one), "whole-runs")
+    copied = whole.filter("times > 1").select(F.col("rank").alias("r"), F.col("whole").alias("w"))
+    repeated = skew_join(alive, copied, {"rank": "r", "whole": "w"}, "inner").select("row", F.col("run").alias("hit"))
 
     # 3. Strings in runs that differ from others of their rank.
     mixed = whole.groupBy(F.col("rank").alias("r")).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    open_runs = skew_join(whole, mixed, {"rank": "r"}, "inner")
-    packed = F.shiftleft("one.first", 32).bitwiseOR(F.shiftleft("one.n", 1)).bitwiseOR((F.col("times") > 1).cast("long"))
-    per_doc = open_runs.select(F.col("one.row").alias("of"), packed.alias("run")).groupBy("of").agg(F.collect_list("run").alias("runs"))
-    look = long.join(per_doc, long["row"] == per_doc["of"]).select("row", "text", "runs")
-    strings = look.mapInPandas(lambda b: _find_strings(b, n_bytes), "h1 long, h2 long, row long, at long, copied long")
-    strings = materialize(strings, "strings")
-    same = strings.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.count(F.lit(1)).alias("times"), F.max("copied").alias("any"))
+    listed = F.struct("rank", "one.run", (F.col("times") > 1).cast("int").alias("copied"), (F.col("kinds") > together).alias("large"))
+    open_runs = skew_join(whole, mixed, {"rank": "r"}, "inner").select(F.col("one.row").alias("of"), listed.alias("run"))
+    per_doc = open_runs.groupBy("of").agg(F.collect_list("run").alias("runs"))  # as many as the document's bytes at most
+    texts = long.select("row", _compressed(F.col("text")).alias("text"))
+    look = texts.join(per_doc, texts["row"] == per_doc["of"]).select("row", "text", "runs")
+    schema = "rank long, h2 long, row long, first long, copied int, data binary"
+    strings = materialize(look.mapInPandas(lambda b: _open_runs(b, n_bytes), schema), "open-runs")
+    groups = strings.filter("data is not null").repartition("rank").sortWithinPartitions("rank")
+    met = groups.mapInPandas(lambda b: _compare(b, n_bytes), "row long, hit long")
+    rows = strings.filter("data is null")
+    same = rows.groupBy(F.col("rank").alias("g1"), F.col("h2").alias("g2")).agg(F.count(F.lit(1)).alias("times"), F.max("copied").alias("any"))
     same = same.filter("times > 1 or any = 1").select("g1", "g2")
-    single = skew_join(strings.filter("copied = 0"), same, {"h1": "g1", "h2": "g2"}, "inner")
-    single = single.select("row", F.shiftleft("at", 32).bitwiseOR(F.lit(1)).alias("hit"))
+    single = skew_join(rows.filter("copied = 0"), same, {"rank": "g1", "h2": "g2"}, "inner")
+    single = single.select("row", F.shiftleft("first", 32).bitwiseOR(F.lit(1)).alias("hit"))
 
     # A document's strings are as many as its bytes at most.
-    hits = repeated.union(single).groupBy(F.col("row").alias("of")).agg(F.collect_list("hit").alias("hits"))
-    found = docs.join(hits, docs["row"] == hits["of"], "left").select("id", "text", kept_bytes(F.col("text"), F.col("hits"), n_bytes).alias("out"))
+    hits = repeated.union(met).union(single).groupBy(F.col("row").alias("of")).agg(F.collect_list("hit").alias("hits"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    return found.select(F.col("id").alias(doc_id), size, "out.n_removed", "out.n_spans", "out.kept")
+    packed = docs.select("id", "row", size, _compressed(F.col("text")).alias("packed"))
+    found = packed.join(hits, packed["row"] == hits["of"], "left").select("id", "n_bytes", _kept(F.col("packed"), F.col("hits"), n_bytes).alias("out"))
+    return found.select(F.col("id").alias(doc_id), "n_bytes", "out.n_removed", "out.n_spans", "out.kept")
