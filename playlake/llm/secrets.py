@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from playlake.storage import materialize
+
 # The patterns and least lengths of the base kinds, in the order in which kinds are listed.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -140,13 +142,20 @@ SPANS = ArrayType(
 
 
 def word_ranks(df: DataFrame, text: Column, kept: int = WORDS_KEPT) -> dict[str, int]:
-    """Ranks of guessable words: the fixed ones, then the ``kept`` most frequent of all texts. At most ``kept`` rows reach
-    the driver."""
+    """Ranks of guessable words: the fixed ones, then the most frequent of all texts. At most ``kept`` words reach the driver:
+    those of the highest steps of frequency (an eighth of a power of two each) that hold no more than that together."""
     words = df.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
-    counts = words.filter(F.length("word").between(3, 24)).groupBy("word").count()
-    top = counts.orderBy(F.desc("count"), "word").limit(kept).collect()
+    counts = words.filter(F.length("word").between(3, 24)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "words")
+    held, least = 0, None
+    for row in sorted(counts.groupBy("step").count().collect(), reverse=True):  # some hundred steps at most
+        held += row["count"]
+        if held > kept:
+            break
+        least = row["step"]
+    top = counts.filter(F.col("step") >= least).select("n", "word").collect() if least is not None else []
     ranks = {word: i + 1 for i, word in enumerate(COMMON)}
-    for row in top:
+    for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
         ranks.setdefault(row["word"], len(ranks) + 1)
     return ranks
 
