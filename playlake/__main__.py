@@ -16,6 +16,7 @@ from playlake.streaming import incremental
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="playlake", description="Build tables from song metadata and event logs.")
+    top.add_argument("--no-report", action="store_true", help="neither count the tables nor check their constraints")
     builds = top.add_subparsers(dest="build", required=True)
 
     def build(name: str, text: str, *options: str) -> argparse.ArgumentParser:
@@ -55,8 +56,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"playlake-{args.build}").getOrCreate()
-    for name, table in run(spark, args).items():
-        print(f"{name}: {table.count()} rows")
+    tables = run(spark, args)
+    if not args.no_report:
+        for name, table in tables.items():
+            print(f"{name}: {table.count()} rows")
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@
 from playlake.sources.copy import copy_by_name, copy_by_paths
 from playlake.sources.files import (
     count_files,
+    count_listed,
     read_csv,
     read_csv_inferred,
     read_json_lines,
@@ -16,6 +17,7 @@ __all__ = [
     "copy_by_name",
     "copy_by_paths",
     "count_files",
+    "count_listed",
     "read_csv",
     "read_csv_inferred",
     "read_json_lines",

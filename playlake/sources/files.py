@@ -100,6 +100,12 @@ def count_files(df: DataFrame) -> DataFrame:
     return per_file.agg(F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 
+def count_listed(spark: SparkSession, path: str | list[str], name_glob: str = "*") -> DataFrame:
+    """Number of files below ``path`` whose names fit, as one row; their content is not read. Spark's scans leave empty files out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name_glob)
+    return files.load(path).select("path").agg(F.count(F.lit(1)).alias("n_files"))
+
+
 def union_sources(*sources: DataFrame) -> DataFrame:
     """All rows of several sources, copies kept; a column one of them lacks is null there."""
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), sources)

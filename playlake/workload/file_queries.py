@@ -82,6 +82,14 @@ def count_files(spark, sf_dir):
     return sources.count_files(logs).select("n_rows", (F.col("n_files") > 0).alias("has_files"))
 
 
+@query("count_listed", "SELECT count(DISTINCT event_type) AS n_files FROM events")
+def count_listed(spark, sf_dir):
+    """One file for each type of event, counted without a look inside."""
+    path = fresh_path(spark, "types")
+    table(spark, sf_dir, "events").repartition("event_type").write.partitionBy("event_type").json(path)
+    return sources.count_listed(spark, path, "*.json")
+
+
 def write_song_objects(spark, sf_dir: str) -> str:
     """Songs as JSON that runs over several lines, at most a hundred to a file."""
     path = fresh_path(spark, "objects")

@@ -99,3 +99,11 @@ def test_partition_filter_prunes(spark, out):
     sinks.write_parquet(songs(spark, {}, dict(year=1999)).select(*schemas.SONGS.names), out + "/t", ("year",))
     text = plan_text(sources.read_partitioned(spark, out + "/t", schemas.SONGS).filter("year = 1999"))
     assert "PartitionFilters: [isnotnull(year" in text
+
+
+def test_listed_files(spark, out):
+    os.makedirs(out + "/d/e")
+    for name in ("d/a.json", "d/e/b.json", "d/e/c.txt"):
+        write(f"{out}/{name}", "no json at all")
+    assert tuples(sources.count_listed(spark, out + "/d", "*.json")) == [(2,)]
+    assert tuples(sources.count_listed(spark, out + "/d")) == [(3,)]
