@@ -122,6 +122,8 @@ def warehouse_songplays(spark, sf_dir):
             "songs": "SELECT DISTINCT song_id FROM songs",
             "time": "SELECT DISTINCT ts FROM plays",
             "songplays": "SELECT 1 FROM plays",
+            "rejected_songs": "SELECT 1 WHERE false",
+            "rejected_events": "SELECT 1 WHERE false",
             "violations": "SELECT 1 WHERE false",
         }
     ),
@@ -130,6 +132,23 @@ def star_build(spark, sf_dir):
     return row_counts(_star(spark, sf_dir))
 
 
+@query(
+    "star_rejected",
+    counts_sql(
+        {
+            "songplays": "SELECT 1 FROM plays",
+            "rejected_songs": "SELECT 1 WHERE false",
+            "rejected_events": "SELECT 1 FROM ev WHERE page IN ('error', 'signup')",
+        }
+    ),
+)
+def star_rejected(spark, sf_dir):
+    """Damaged lines of the log are in no table of the star, and returned beside them."""
+    songs, logs = write_songs(spark, sf_dir), write_damaged_logs(spark, sf_dir)
+    star = build_star(spark, songs, logs, fresh_path(spark, "star"), PAGE, object_files=False)
+    return row_counts({name: star[name] for name in ("songplays", "rejected_songs", "rejected_events")})
+
+
 @query(
     "star_songplays",
     WITH
