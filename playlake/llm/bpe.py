@@ -12,6 +12,7 @@ Null texts count as empty; the empty text has no ids. The ids of a text are pack
 import base64
 import re
 from collections.abc import Callable
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -21,12 +22,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 #: Entries of the per-process memories; they are emptied when full, which costs time only.
-PIECES_KEPT = 200_000
+PIECES_KEPT = 250_000
 PAIRS_KEPT = 1_000_000
+#: Bytes by which most longest matches are decided.
+NEAR = 6
 #: A vocabulary file is sent to every executor; larger ones are refused.
 MOST_VOCABULARY_BYTES = 64 << 20
 # The characters that Unicode calls white space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Fixed value: a common pattern of words with the space before them, numbers, signs and white space.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
 
 
@@ -39,13 +44,23 @@ class Ranks:
         self.bytes_of = {i: token for token, i in self.id_of.items()}
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.matcher = ahocorasick.Automaton()
         for i in sorted(self.bytes_of):
             self._learn(i)
-        self.matcher.make_automaton()
-        self.size = {i: len(token) for i, token in self.bytes_of.items()}
-        self.shorter = {i: self._prefix(token) for token, i in self.id_of.items()}
+        self.entry = {token.decode("latin-1"): i for token, i in self.id_of.items()}
+        self.near: dict[str, int | None] = {}
+        self.width = max(map(len, self.id_of), default=1)
+        # The automaton tells how far some entry goes on from a place; the longest entry that ends on that way is the match.
+        self.best: dict[str, int | None] = {"": None}
+        self.prefixes: dict[int, tuple[tuple[int, int], ...]] = {}  # an entry and its shorter prefixes, with their sizes
+        for word in sorted(self.matcher):
+            for k in range(1, len(word)):
+                if word[:k] not in self.best:
+                    self.best[word[:k]] = self.best[word[: k - 1]]
+            i = self.best[word] = self.matcher.get(word)
+            shorter = self.best[word[:-1]]
+            self.prefixes[i] = ((i, len(word)), *(self.prefixes[shorter] if shorter is not None else ()))
         self.fits.clear()
 
     def _learn(self, i: int) -> None:
@@ -63,10 +78,6 @@ class Ranks:
                 return  # no merge makes it: it can only be a whole piece
         self.matcher.add_word(token.decode("latin-1"), i)
 
-    def _prefix(self, token: bytes) -> int | None:
-        ids = (self.id_of.get(token[:n]) for n in range(len(token) - 1, 0, -1))
-        return next((i for i in ids if i in self.parts), None)
-
     def _compatible(self, left: int, right: int) -> bool:
         """Whether merges in rank order leave a border between the two: undo the later merge of both sides again and again;
         the border is gone if the two entries that then meet would have merged before what was undone last."""
@@ -90,45 +101,58 @@ class Ranks:
             else:
                 return True
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
-        whole = self.id_of.get(piece)
+    def longest(self, text: str, at: int) -> int:
+        """The longest entry that starts at a place of a Latin-1 text. The next few bytes decide mostly, and are remembered."""
+        way = self.matcher.longest_prefix(text[at : at + self.width])
+        token = self.best[text[at : at + way]]
+        if way < NEAR or at + NEAR > len(text):
+            if len(self.near) >= PAIRS_KEPT // 4:
+                self.near.clear()
+            self.near[text[at : at + NEAR]] = token
+        return token
+
+    def encode_piece(self, text: str) -> list[int]:
+        """Ids of one piece, given as its bytes in Latin-1."""
+        whole = self.entry.get(text)
         if whole is not None:
             return [whole]
-        n, size, shorter, fits = len(piece), self.size, self.shorter, self.fits
-        longest: list = [None] * (n + 1)
-        for end, i in self.matcher.iter(piece.decode("latin-1")):
-            longest[end + 1 - size[i]] = i  # ends come in order, so the longest stays
+        n, near, prefixes, fits = len(text), self.near, self.prefixes, self.fits
         given_up = bytearray(n + 1)
         out: list[int] = []
-        at, token, before = 0, longest[0], None
-        while token is not None:
-            candidate = token
-            while candidate is not None:
-                end = at + size[candidate]
-                if not given_up[end]:
-                    if before is None:
-                        break
-                    fit = fits.get((before, candidate))
-                    if fit is None:
-                        if len(fits) >= PAIRS_KEPT:
-                            fits.clear()
-                        fit = fits[before, candidate] = self._compatible(before, candidate)
-                    if fit:
-                        break
-                candidate = shorter[candidate]
-            if candidate is not None:
-                out.append(candidate)
-                at, before, token = end, candidate, longest[end]
-            elif before is None:
+        at, before = 0, -1
+        token = self.longest(text, 0) if n else None
+        while n:
+            if token is None:
                 raise ValueError("the vocabulary lacks a byte")
+            for candidate, size in prefixes[token]:
+                end = at + size
+                if given_up[end]:
+                    continue
+                if before < 0:
+                    break
+                pair = before << 32 | candidate
+                fit = fits.get(pair)
+                if fit is None:
+                    if len(fits) >= PAIRS_KEPT:
+                        fits.clear()
+                    fit = fits[pair] = self._compatible(before, candidate)
+                if fit:
+                    break
             else:
+                if before < 0:
+                    raise ValueError("the vocabulary lacks a byte")
                 given_up[at] = 1
                 token = out.pop()
-                at -= size[token]
-                before = out[-1] if out else None
-        if at != n:
-            raise ValueError("the vocabulary lacks a byte")
+                at -= prefixes[token][0][1]
+                before = out[-1] if out else -1
+                continue
+            out.append(candidate)
+            at, before = end, candidate
+            if end == n:
+                break
+            token = near.get(text[end : end + NEAR])
+            if token is None:
+                token = self.longest(text, end)
         return out
 
 
@@ -152,17 +176,29 @@ class Memory(dict):
 
 
 class Codec:
-    """Text is cut before each run of white space first: no match of the usual patterns crosses such a place, as words, numbers
-    and signs take at most one space, in front. So whole chunks can be remembered, white space and word together."""
+    """With the pattern ``WORDS`` text is cut before each run of white space first: none of its matches crosses such a place, as
+    words, numbers and signs take at most one space, in front. So whole chunks can be remembered, white space and word together."""
 
     def __init__(self, file_content: bytes, pattern: str):
         self.ranks = Ranks(file_content)
         self.split = regex.compile(pattern).findall
-        self.pieces = Memory(lambda piece: np.array(self.ranks.encode_piece(piece.encode()), dtype="<u4").tobytes())
-        self.chunks = Memory(lambda chunk: b"".join(map(self.pieces.__getitem__, self.split(chunk))))
+        self.pieces = Memory(self._piece)
+        self.cut, self.parts = (CHUNK, Memory(self._chunk)) if pattern == WORDS else (self.split, self.pieces)
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.ranks.encode_piece(piece if piece.isascii() else piece.encode().decode("latin-1"))
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        body = chunk[1:] if chunk[0] == " " else chunk
+        if body.isalpha():
+            return self._piece(chunk)
+        if body[-1:] in (".", ",") and body[:-1].isalpha():
+            return self.parts[chunk[:-1]] + self.pieces[body[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, CHUNK(text))) if text else b""
+        return b"".join(map(self.parts.__getitem__, self.cut(text))) if text else b""
 
     def decode(self, packed: bytes | None) -> bytes:
         ids = np.frombuffer(packed or b"", dtype="<u4").tolist()
