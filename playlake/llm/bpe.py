@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
 #: Entries of the per-process memories; they are emptied when full, which costs time only.
-PIECES_KEPT = 250_000
-PAIRS_KEPT = 1_000_000
+PIECES_KEPT = 200_000
+PAIRS_KEPT = 300_000
 #: Bytes by which most longest matches are decided.
 NEAR = 6
 #: A vocabulary file is sent to every executor; larger ones are refused.
@@ -106,7 +106,7 @@ class Ranks:
         way = self.matcher.longest_prefix(text[at : at + self.width])
         token = self.best[text[at : at + way]]
         if way < NEAR or at + NEAR > len(text):
-            if len(self.near) >= PAIRS_KEPT // 4:
+            if len(self.near) >= PAIRS_KEPT:
                 self.near.clear()
             self.near[text[at : at + NEAR]] = token
         return token
