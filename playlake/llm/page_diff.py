@@ -12,16 +12,18 @@ pages have an empty text. A tag that the end of the page cuts off is dropped. Ro
 
 import html
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, ByteType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, StringType
 
 from playlake.llm.url_filter import host_and_path
 from playlake.operators.ids import serial_ids
-from playlake.storage import materialize
+from playlake.storage import materialize, with_place
 
 TAG = re.compile(
     r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)""",
@@ -47,6 +49,8 @@ MARKS = frozenset(
 )
 
 _NOISE, _LINE, _TEXT = 0, 1, 2
+#: Pages that a Python task works on at once.
+HANDED_ON = 250
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -188,54 +192,64 @@ def _aligned(a: list[int], b: list[int], most: int = 1 << 28) -> list[int]:
     return out[::-1]
 
 
-PARSED = StructType(
-    [
-        StructField("lines", ArrayType(LongType())),
-        StructField("texts", ArrayType(StringType())),
-        StructField("at", ArrayType(LongType())),
-        StructField("kinds", ArrayType(ByteType())),
-    ]
-)
+def _keys(found: list[tuple[str, int, int]]) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(text) - (1 << 63) for text, _, _ in found]
 
 
-def _parse(page: str) -> dict:
-    """Hashes of all lines, and the lines that may be main text with their places and kinds."""
-    found = lines(page)
+def _text(found: list[tuple[str, int, int]], shared: set[int]) -> str:
+    """The lines that stay: all text of an article, and what the neighbour does not share."""
     inside = max((place for _, kind, place in found if kind != _NOISE), default=0)
-    kept = [(i, text, _TEXT if inside and kind == _TEXT else _LINE) for i, (text, kind, place) in enumerate(found) if kind != _NOISE and place >= inside]
-    return {
-        "lines": [xxhash.xxh3_64_intdigest(text) - (1 << 63) for text, _, _ in found],
-        "texts": [text for _, text, _ in kept],
-        "at": [i for i, _, _ in kept],
-        "kinds": [kind for _, _, kind in kept],
-    }
+    kept = (
+        text
+        for i, (text, kind, place) in enumerate(found)
+        if kind != _NOISE and place >= inside and ((inside and kind == _TEXT) or i not in shared)
+    )
+    return "\n\n".join(kept)
 
 
-def _parsed(pages: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_parse(page) for page in pages], columns=PARSED.names)
+def _find_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), HANDED_ON):
+            part = batch.iloc[at : at + HANDED_ON]
+            keys = [np.array(_keys(lines(page or "")), dtype=np.int64) for page in part["page"]]
+            yield part[["row", "host", "path"]].assign(lines=keys)
 
 
-def _without_shared(texts: pd.Series, at: pd.Series, kinds: pd.Series, own: pd.Series, other: pd.Series) -> pd.Series:
-    """The lines that stay: all text of an article, and what the neighbour does not share."""
-    out = []
-    for values, places, of, mine, theirs in zip(texts, at, kinds, own, other):
-        if theirs is None or not (np.asarray(of) == _LINE).any():
-            out.append(list(values))
-            continue
-        shared = set(common_lines(list(mine), list(theirs)))
-        out.append([t for t, i, kind in zip(values, places, of) if kind == _TEXT or int(i) not in shared])
-    return pd.Series(out, dtype=object)
+def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Places of the lines that a page shares with its neighbour."""
+    for batch in batches:
+        for at in range(0, len(batch), HANDED_ON):
+            part = batch.iloc[at : at + HANDED_ON]
+            shared = [np.array(common_lines(list(a), list(b)), dtype=np.int32) for a, b in zip(part["lines"], part["other_lines"])]
+            yield pd.DataFrame({"of": part["row"].to_numpy(), "shared": shared})
+
 
+def _compressed(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda page: zstandard.compress((page or "").encode(), 1))
 
-def main_texts(df: DataFrame, page_id: str, url: str, page: str) -> DataFrame:
-    """(``page_id``, ``url``, text) for every row of ``df``."""
-    parsed = F.pandas_udf(_parsed, PARSED)
-    without_shared = F.pandas_udf(_without_shared, ArrayType(StringType()))
+
+def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), HANDED_ON):
+            part = batch.iloc[at : at + HANDED_ON]
+            texts = [
+                _text(lines(zstandard.decompress(page).decode()), set() if shared is None else set(np.asarray(shared).tolist()))
+                for page, shared in zip(part["page"], part["shared"])
+            ]
+            yield part[["id", "url"]].assign(text=texts)
+
+
+def main_texts(df: DataFrame, page_id: str, url: str, page: str, from_scan: bool = False) -> DataFrame:
+    """(``page_id``, ``url``, text) for every row of ``df``.
+
+    Only hashes of lines are aligned; a page itself is shuffled once, compressed. ``from_scan`` says that ``df`` is a scan of files;
+    otherwise it is written first, so that rows keep their places.
+    """
     host, path = host_and_path(F.col(url))
-    found = df.select(
-        F.col(page_id).alias("id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"), parsed(F.coalesce(page, F.lit(""))).alias("p")
-    )
-    stored = materialize(found.withColumn("row", F.monotonically_increasing_id()), "pages")
+    pages = df.select(F.col(page_id).alias("id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"), F.col(page).alias("page"))
+    pages = with_place(pages, "row", from_scan)
+    keys = pages.select("row", "host", "path", "page").mapInPandas(_find_lines, "row long, host string, path string, lines array<long>")
+    stored = materialize(keys, "page-lines")
     order = serial_ids(stored.select("row", "host", "path"), ["host", "path", "row"], name="pos", unique=True)
     order = materialize(order, "page-order")
     after = order.select(F.col("pos").alias("p1"), F.col("host").alias("h1"), F.col("row").alias("after"))
@@ -244,9 +258,14 @@ def main_texts(df: DataFrame, page_id: str, url: str, page: str) -> DataFrame:
         order.join(after, (order["pos"] + 1 == after["p1"]) & (order["host"] == after["h1"]), "left")
         .join(before, (order["pos"] - 1 == before["p2"]) & (order["host"] == before["h2"]), "left")
         .select(F.col("row").alias("of"), F.coalesce("after", "before").alias("other"))
+        .filter("other is not null")
     )
-    theirs = stored.select(F.col("row").alias("r"), F.col("p.lines").alias("other_lines"))
-    neighbours = pairs.filter("other is not null").join(theirs, F.col("other") == F.col("r")).select("of", "other_lines")
-    joined = stored.join(neighbours, stored["row"] == neighbours["of"], "left")
-    kept = without_shared("p.texts", "p.at", "p.kinds", "p.lines", "other_lines")
-    return joined.select(F.col("id").alias(page_id), F.col("url").alias(url), F.array_join(kept, "\n\n").alias("text"))
+    own = stored.select("row", "lines")
+    theirs = stored.select(F.col("row").alias("r"), F.col("lines").alias("other_lines"))
+    both = pairs.join(own, F.col("of") == F.col("row")).join(theirs, F.col("other") == F.col("r")).select("row", "lines", "other_lines")
+    shared = materialize(both.mapInPandas(_align, "of long, shared array<int>"), "shared-lines")
+    packed = pages.select("id", "url", "row", F.pandas_udf(_compressed, BinaryType())(F.coalesce("page", F.lit(""))).alias("page"))
+    joined = packed.join(shared, packed["row"] == shared["of"], "left").select("id", "url", "page", "shared")
+    kind = df.select(F.col(page_id).alias("id"), F.col(url).alias("url")).schema
+    texts = joined.mapInPandas(_extract, kind.add("text", StringType()))
+    return texts.select(F.col("id").alias(page_id), F.col("url").alias(url), "text")

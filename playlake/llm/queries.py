@@ -148,5 +148,5 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
-    texts = page_diff.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "url", "html")
+    texts = page_diff.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "url", "html", from_scan=True)
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
