@@ -240,3 +240,18 @@ def test_leaks_whole_and_paraphrased(spark):
     assert got[9001] == [] and got[9002] == [] and 3 in got[9003]
     none = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame([], "item_id long, text string"))
     assert df.filter(F.size(none.leaks(F.col("text"))) > 0).count() == 0
+
+
+def invented(dice, n, letters="abcdefghijklmnopqrstuvwxyz"):
+    return ["".join(dice.choices(letters, k=dice.randint(5, 9))) for _ in range(n)]
+
+
+def test_no_verbatim_item_is_lost_from_a_large_benchmark(spark):
+    dice = random.Random(5)
+    known, other = invented(dice, 6000), invented(dice, 6000)
+    items = [(i, " ".join(dice.choices(known, k=dice.randint(15, 60)))) for i in range(3000)]
+    docs = [(i, " ".join([*dice.choices(other, k=dice.randint(0, 90)), items[i * 10][1], *dice.choices(known, k=40)])) for i in range(300)]
+    df = spark.createDataFrame([*docs, *((1000 + i, " ".join(dice.choices(known, k=90))) for i in range(100))], "doc_id long, text string").repartition(4)
+    finder = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r[0], x["item_id"]) for r in df.select("doc_id", finder.leaks(F.col("text"))).collect() for x in r[1]}
+    assert got == {(i, i * 10) for i in range(300)}
