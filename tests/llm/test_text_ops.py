@@ -255,3 +255,17 @@ def test_no_verbatim_item_is_lost_from_a_large_benchmark(spark):
     finder = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items, "item_id long, text string"))
     got = {(r[0], x["item_id"]) for r in df.select("doc_id", finder.leaks(F.col("text"))).collect() for x in r[1]}
     assert got == {(i, i * 10) for i in range(300)}
+
+
+def test_a_passage_of_a_long_item_leaks(spark):
+    dice = random.Random(6)
+    known, other = invented(dice, 3000), invented(dice, 3000)
+    items = [(i, " ".join(dice.choices(known, k=300))) for i in range(30)]
+    part = [text.split()[90:190] for _, text in items]
+    docs = [(i, " ".join([*dice.choices(other, k=50 + i), *part[i], *dice.choices(other, k=50)])) for i in range(30)]
+    docs += [(100 + i, " ".join([*dice.choices(other, k=40), *part[i][:12], *dice.choices(other, k=40)])) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    finder = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items, "item_id long, text string"))
+    got = [(r[0], x) for r in df.select("doc_id", finder.leaks(F.col("text"))).collect() for x in r[1]]
+    assert sorted((k, x["item_id"]) for k, x in got) == [(i, i) for i in range(30)]
+    assert all(0.33 <= x["share"] < 0.5 and x["cosine"] > 0.5 for _, x in got)
