@@ -269,3 +269,27 @@ def test_a_passage_of_a_long_item_leaks(spark):
     got = [(r[0], x) for r in df.select("doc_id", finder.leaks(F.col("text"))).collect() for x in r[1]]
     assert sorted((k, x["item_id"]) for k, x in got) == [(i, i) for i in range(30)]
     assert all(0.33 <= x["share"] < 0.5 and x["cosine"] > 0.5 for _, x in got)
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    dice = random.Random(8)
+    han = "".join(map(chr, range(0x4E00, 0x4F80)))
+    long_one = "".join(dice.sample(han, 60))
+    thai = "ที่ไหนอยู่"
+    items = [(1, "Who wrote Hamlet?"), (2, long_one), (3, "谁写了红楼梦？"), (4, thai), (5, "... !"), (6, "Paris"), (7, "one two three four five six seven eight nine")]
+    docs = [
+        (1, "who  wrote\nHAMLET", [1]),
+        (2, "Tell me: who wrote Hamlet? In Paris.", [1, 6]),
+        (3, "who wrote a Hamlet, wrote Hamlet who; comparison", []),
+        (4, "我" * 20 + long_one[:25] + "我" + long_one[25:] + "我" * 20, [2]),
+        (5, "请问谁写了红楼梦，好", [3]),
+        (6, "ก" + thai + "ข", [4]),
+        (7, "who wrote", []),
+        (8, "Hamlet? who", []),
+    ]
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string").coalesce(1)
+    finder = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r[0]: [x["item_id"] for x in r[1]] for r in df.select("doc_id", finder.leaks(F.col("text"))).collect()}
+    assert got == {d[0]: d[2] for d in docs}
+    short = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items[:1], "item_id long, text string"))
+    assert df.filter(F.size(short.leaks(F.col("text"))) > 0).count() == 2
