@@ -3,7 +3,9 @@
 A page becomes lines, one for each block of text. Lines in menus, headers, footers, sidebars, adverts, forms, comments and the
 like, told by element, role, class or id, are noise. If the page marks its article (else its main part), only what is inside counts. The pages of a host are
 put in order of path, and each is aligned with the next one (the last with the one before) by a longest common
-subsequence of their lines: a shared line is what the site repeats, and is deleted. Paragraphs, headings, list items and the like inside a marked article are
+subsequence of their lines: a shared line is what the site repeats, and is deleted. Copies tell nothing of the site: pages of a host
+whose lines beside the noise are all equal count as one page, at the first one's place, and pages of one URL or without such lines are
+passed over. A page that has no other page to compare with keeps its lines. Paragraphs, headings, list items and the like inside a marked article are
 its text even if another page has them too; they stay.
 
 Character references are decoded; white space within a block is one space; blocks are joined by two line breaks. Null or empty
@@ -23,6 +25,7 @@ from pyspark.sql.types import BinaryType, StringType
 
 from playlake.llm.url_filter import host_and_path
 from playlake.operators.ids import serial_ids
+from playlake.operators.joins import skew_join
 from playlake.storage import materialize, with_place
 
 TAG = re.compile(
@@ -196,6 +199,12 @@ def _keys(found: list[tuple[str, int, int]]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(text) - (1 << 63) for text, _, _ in found]
 
 
+def _content(found: list[tuple[str, int, int]], keys: np.ndarray) -> int | None:
+    """One hash of all lines that are not noise; none if there are none."""
+    own = [kind != _NOISE for _, kind, _ in found]
+    return xxhash.xxh3_64_intdigest(keys[own].tobytes()) - (1 << 63) if any(own) else None
+
+
 def _text(found: list[tuple[str, int, int]], shared: set[int]) -> str:
     """The lines that stay: all text of an article, and what the neighbour does not share."""
     inside = max((place for _, kind, place in found if kind != _NOISE), default=0)
@@ -211,8 +220,10 @@ def _find_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), HANDED_ON):
             part = batch.iloc[at : at + HANDED_ON]
-            keys = [np.array(_keys(lines(page or "")), dtype=np.int64) for page in part["page"]]
-            yield part[["row", "host", "path"]].assign(lines=keys)
+            found = [lines(page or "") for page in part["page"]]
+            keys = [np.array(_keys(f), dtype=np.int64) for f in found]
+            contents = pd.Series([_content(f, k) for f, k in zip(found, keys)], index=part.index, dtype="Int64")
+            yield part[["row", "host", "path", "name"]].assign(lines=keys, content=contents)
 
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,21 +259,32 @@ def main_texts(df: DataFrame, page_id: str, url: str, page: str, from_scan: bool
     host, path = host_and_path(F.col(url))
     pages = df.select(F.col(page_id).alias("id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"), F.col(page).alias("page"))
     pages = with_place(pages, "row", from_scan)
-    keys = pages.select("row", "host", "path", "page").mapInPandas(_find_lines, "row long, host string, path string, lines array<long>")
+    name = F.coalesce("url", F.format_string("%020d", "row")).alias("name")  # pages without a URL are no copies by it
+    keys = pages.select("row", "host", "path", name, "page").mapInPandas(
+        _find_lines, "row long, host string, path string, name string, lines array<long>, content long"
+    )
     stored = materialize(keys, "page-lines")
-    order = serial_ids(stored.select("row", "host", "path"), ["host", "path", "row"], name="pos", unique=True)
-    order = materialize(order, "page-order")
-    after = order.select(F.col("pos").alias("p1"), F.col("host").alias("h1"), F.col("row").alias("after"))
-    before = order.select(F.col("pos").alias("p2"), F.col("host").alias("h2"), F.col("row").alias("before"))
-    pairs = (
+    firsts = stored.filter("content is not null").groupBy("host", "content").agg(F.min(F.struct("path", "name", "row")).alias("first"))
+    firsts = materialize(firsts.select("host", "content", "first.*"), "page-contents")
+    places = firsts.groupBy("host", "path", "name").agg(F.min("row").alias("row"))
+    order = materialize(serial_ids(places, ["host", "path", "name"], name="pos", unique=True), "page-order")
+    after = order.select(F.col("pos").alias("p1"), F.col("host").alias("h1"), F.col("name").alias("after_name"), F.col("row").alias("after"))
+    before = order.select(F.col("pos").alias("p2"), F.col("host").alias("h2"), F.col("name").alias("before_name"), F.col("row").alias("before"))
+    beside = (
         order.join(after, (order["pos"] + 1 == after["p1"]) & (order["host"] == after["h1"]), "left")
         .join(before, (order["pos"] - 1 == before["p2"]) & (order["host"] == before["h2"]), "left")
-        .select(F.col("row").alias("of"), F.coalesce("after", "before").alias("other"))
-        .filter("other is not null")
+        .select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("name").alias("n"), "after_name", "after", "before_name", "before")
     )
+    same_place = (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")) & (F.col("name") == F.col("n"))
+    partners = firsts.join(beside, same_place).select("h", F.col("content").alias("c"), "after_name", "after", "before_name", "before")
+    partners = materialize(partners, "page-partners")
+    other = F.when(F.col("after_name") != F.col("name"), F.col("after")).when(F.col("before_name") != F.col("name"), F.col("before"))
+    pairs = skew_join(stored.select("row", "host", "name", "content"), partners, {"host": "h", "content": "c"}, "inner")
+    pairs = pairs.select(F.col("row").alias("of"), other.alias("other")).filter("other is not null")
     own = stored.select("row", "lines")
     theirs = stored.select(F.col("row").alias("r"), F.col("lines").alias("other_lines"))
-    both = pairs.join(own, F.col("of") == F.col("row")).join(theirs, F.col("other") == F.col("r")).select("row", "lines", "other_lines")
+    with_own = pairs.join(own, F.col("of") == F.col("row"))
+    both = skew_join(with_own, theirs, {"other": "r"}, "inner").select("row", "lines", "other_lines")
     shared = materialize(both.mapInPandas(_align, "of long, shared array<int>"), "shared-lines")
     packed = pages.select("id", "url", "row", F.pandas_udf(_compressed, BinaryType())(F.coalesce("page", F.lit(""))).alias("page"))
     joined = packed.join(shared, packed["row"] == shared["of"], "left").select("id", "url", "page", "shared")

@@ -93,6 +93,24 @@ def test_pages(spark):
     assert page_diff.main_texts(df.limit(0), "page_id", "url", "html").count() == 0
 
 
+def test_copied_pages_keep_their_text(spark):
+    plain = "<body><div>Same head</div><p>Own {0}</p><div>Same foot</div></body>"
+    inside = "<body><article><div>Site line</div><div>Own {0}</div>bare {0}<br>more</article></body>"
+    pages = [(i, f"http://a/{i}", plain.format("one")) for i in range(3)] + [(3, "http://a/3", plain.format("two"))]
+    pages += [(10, "http://b/x", plain.format("one")), (11, "http://b/x", plain.format("one")), (12, "http://b/x", plain.format("new"))]
+    pages += [(20, "http://c/1", inside.format("one")), (21, "http://c/2", inside.format("one")), (22, "http://c/3", inside.format("two"))]
+    pages += [(30, "http://d/1", plain.format("one")), (31, "http://d/2", ""), (32, "http://d/3", plain.format("two"))]
+    pages += [(40, None, plain.format("one")), (41, None, plain.format("two"))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n\n") for r in page_diff.main_texts(df, "page_id", "url", "html").collect()}
+    whole = ["Same head", "Own one", "Same foot"]
+    assert [got[i] for i in range(4)] == [["Own one"]] * 3 + [["Own two"]]
+    assert got[10] == got[11] == whole and got[12] == ["Same head", "Own new", "Same foot"]
+    assert got[20] == got[21] == ["Own one", "bare one more"] and got[22] == ["Own two", "bare two more"]
+    assert got[30] == ["Own one"] and got[31] == [""] and got[32] == ["Own two"]
+    assert got[40] == ["Own one"] and got[41] == ["Own two"]
+
+
 def test_common_lines():
     dice = random.Random(1)
     for most in (1 << 28, 20):
