@@ -1,7 +1,10 @@
 """HTML extraction: marked-up noise goes, and then lines that a page shares with its neighbour by URL.
 
 A page becomes lines, one for each block of text. Lines in menus, headers, footers, sidebars, adverts, forms, comments and the
-like, told by element, role, class or id, are noise. If the page marks its article (else its main part), only what is inside counts. The pages of a host are
+like, told by element, role, class or id, are noise. A class or id counts as a whole: all its words must be those of noise or of
+layout, so ``has-banner`` or ``content-sidebar-wrap`` do not count. An element that is noise by its class alone is none after all
+if it holds the article (or main part) of a page that has no better one outside such elements, or, where no article or main part is
+marked, most of the page's long lines. If the page marks its article (else its main part), only what is inside counts. The pages of a host are
 put in order of path, and each is aligned with the next one (the last with the one before) by a longest common
 subsequence of their lines: a shared line is what the site repeats, and is deleted. Copies tell nothing of the site: pages of a host
 whose lines beside the noise are all equal count as one page, at the first one's place, and pages of one URL or without such lines are
@@ -51,7 +54,18 @@ MARKS = frozenset(
     "comment comments commentlist disqus reply replies respond popup modal overlay widget login signup pagination pager toolbar hidden".split()
 )
 
+#: Those of an article that is not the page's own.
+ARTICLE_MARKS = frozenset("comment comments reply related ad advert advertisement promo sponsored".split())
+#: Words that a class or id of noise may have beside those.
+LAYOUT = frozenset(
+    "site page main top bottom left right primary secondary global area box bar block container wrap wrapper inner outer list lists link links button "
+    "buttons icon icons post posts article articles story stories section form slot unit widget item items row column col group panel js "
+    "app desktop mobile sticky fixed".split()
+)
+
 _NOISE, _LINE, _TEXT = 0, 1, 2
+#: Characters from which a line is long, as menus and buttons are not.
+_LONG = 40
 #: Pages that a Python task works on at once.
 HANDED_ON = 250
 
@@ -60,34 +74,48 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(raw)}
 
 
+def _hidden(name: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is noise by its role or because it is not shown."""
+    if name in ("html", "body", "main"):
+        return False
+    return attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
+
+
 def _marked(name: str, attributes: dict[str, str]) -> bool:
-    """Whether an element is noise by its role, class or id."""
+    """Whether an element is noise by its class or id."""
     if name in ("html", "body", "main"):
         return False
-    if attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
-        return True
-    tokens = set(re.split(r"[^a-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    if name == "article":
-        return bool(tokens & {"comment", "comments", "reply", "related", "ad", "advert", "advertisement", "promo", "sponsored"})
-    return bool(tokens & MARKS)
+    marks = ARTICLE_MARKS if name == "article" else MARKS
+    for whole in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        tokens = {t for t in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", whole) if t and not t.isdigit()}
+        if tokens & marks and tokens <= marks | MARKS | LAYOUT:
+            return True
+    return False
 
 
 def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, kind, place) of every block: kind is noise, a line, or prose; place is 2 in an article, 1 in a main part, else 0."""
     out: list[tuple[str, int, int]] = []
-    open_: list[tuple[str, bool, int, bool]] = []  # name, noise, place, prose
+    # name, noise, place, prose, elements around that are noise by class: outside of the article or main part, and from there on
+    open_: list[tuple[str, bool, int, bool, tuple[int, ...], tuple[int, ...]]] = []
+    doubtful: dict[int, tuple[int, tuple[int, ...], tuple[int, ...]]] = {}  # by line: kind, and those elements
+    n_marked = 0
     buffer: list[str] = []
-    state = (False, 0, False)
+    state = (False, 0, False, (), ())
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
-            noise, place, prose = state
-            out.append((text, _NOISE if noise else _TEXT if prose else _LINE, place))
+            noise, place, prose, around, within = state
+            kind = _NOISE if noise else _TEXT if prose else _LINE
+            if not noise and (around or within):
+                doubtful[len(out)] = (kind, around, within)
+                kind = _NOISE
+            out.append((text, kind, place))
 
-    def top() -> tuple[bool, int, bool]:
-        return open_[-1][1:] if open_ else (False, 0, False)
+    def top() -> tuple[bool, int, bool, tuple[int, ...], tuple[int, ...]]:
+        return open_[-1][1:] if open_ else (False, 0, False, (), ())
 
     at, raw_until = 0, re.compile("")
     while at < len(page):
@@ -128,23 +156,55 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 if open_[depth][0] in ("ul", "ol", "dl", "table", "tr", "select"):
                     break
         attributes = _attributes(m[3]) if m[3].strip() else {}
-        noise, place, prose = top()
-        noise = noise or (name in NOISE and not (name == "header" and place == 2)) or bool(attributes and _marked(name, attributes))
+        noise, place, prose, around, within = top()
+        noise = noise or (name in NOISE and not (name == "header" and place == 2)) or bool(attributes and _hidden(name, attributes))
+        before = place
         if name == "article" or "articlebody" in attributes.get("itemprop", "").lower():
             place, prose = 2, False
         elif (name == "main" or attributes.get("role", "").lower() == "main") and place < 2:
             place, prose = 1, False
+        if place > before:
+            around, within = around + within, ()
+        if attributes and _marked(name, attributes):
+            n_marked += 1
+            within = (*within, n_marked)
         if name in RAW:
             raw_until = re.compile(rf"</{name}(?![a-z0-9])", re.IGNORECASE)
             end = raw_until.search(page, at)
             at = end.start() if end else len(page)
             continue
-        open_.append((name, noise, place, prose or name in PROSE))
+        open_.append((name, noise, place, prose or name in PROSE, around, within))
         state = top()
     flush()
+    for i, kind in _cleared(out, doubtful).items():
+        out[i] = (out[i][0], kind, out[i][2])
     return out
 
 
+def _cleared(found: list[tuple[str, int, int]], doubtful: dict[int, tuple[int, tuple[int, ...], tuple[int, ...]]]) -> dict[int, int]:
+    """Kinds of the lines that are no noise after all, though an element around them looks like it by its class."""
+    if not doubtful:
+        return {}
+    sizes: dict[int, int] = {}  # characters that are no noise, by place
+    for text, kind, place in found:
+        if kind != _NOISE:
+            sizes[place] = sizes.get(place, 0) + len(text)
+    held = {i: kind for i, (kind, _, within) in doubtful.items() if found[i][2] and not within}
+    best = max((found[i][2] for i in held), default=0)
+    if best and max(sizes, default=0) < best and sum(len(found[i][0]) for i in held if found[i][2] == best) >= sum(sizes.values()):
+        return held
+    if any(sizes.get(place) for place in (1, 2)):
+        return {}
+    every, parts = 0, {}
+    for i, (text, kind, _) in enumerate(found):
+        if len(text) >= _LONG and (kind != _NOISE or i in doubtful):
+            every += len(text)
+            for element in sum(doubtful[i][1:], ()) if i in doubtful else ():
+                parts[element] = parts.get(element, 0) + len(text)
+    spared = {element for element, size in parts.items() if 2 * size > every}
+    return {i: kind for i, (kind, around, within) in doubtful.items() if spared.issuperset(around + within)}
+
+
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in ``a`` that a longest common subsequence with ``b`` takes."""
     start = 0

@@ -111,6 +111,24 @@ def test_copied_pages_keep_their_text(spark):
     assert got[40] == ["Own one"] and got[41] == ["Own two"]
 
 
+def test_layout_classes_do_not_blank_a_page():
+    prose = "A sentence of the page that is long enough to be more than a menu or a button."
+
+    def text(page):
+        return [t for t, kind, _ in page_diff.lines(page) if kind != page_diff._NOISE]
+
+    side = "<div class='sidebar'><p>Side</p></div><div class='site-footer'>Foot</div><div id='cookie-banner-2'>Cookies</div><ul class='top-nav'><li>Menu</ul>"
+    for mark in ("class='content-sidebar-wrap'", "class='layout with-sidebar'", "class='has-banner x'", "id='social-policy'", "class='sidebar'", "class='menu-page-container'"):
+        for inner in ("<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div itemprop='articleBody'>{}</div>", "<p>{}</p>"):
+            assert text(f"<body><div {mark}>{inner.format(prose)}{side}</div></body>") == [prose], (mark, inner)
+    # what is noise stays noise, articles in it too
+    comments = f"<section class='comments'><article><p>{prose}</p></article></section><div class='related'><article>R</article></div>"
+    assert text(f"<body><article><h1>T</h1><p>Own</p></article>{comments}</body>") == ["T", "Own"]
+    assert text(f"<body><main><p>{prose}</p><p>{prose}</p>{comments}</main></body>") == [prose, prose]
+    assert text(f"<body><article><p>Own</p><div class='share'>S</div><article class='comment'>{prose}</article></article></body>") == ["Own"]
+    assert text(f"<body><p>{prose}</p><p>{prose}</p><div class='cookie-notice-box'><p>{prose}</p></div><nav><article>n</article></nav></body>") == [prose, prose]
+
+
 def test_common_lines():
     dice = random.Random(1)
     for most in (1 << 28, 20):
