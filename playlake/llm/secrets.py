@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from playlake.operators.ids import serial_ids
 from playlake.storage import materialize
 
 # The patterns and least lengths of the base kinds, in the order in which kinds are listed.
@@ -41,7 +42,7 @@ COMMON = (
     "football baseball iloveyou princess sunshine shadow superman batman trustno changeme default test testing example "
     "sample demo dummy placeholder your my the and not none null true false xxx abc key token value string hello world"
 ).split()
-#: Words of the corpus that are taken as guessable; the most frequent ones.
+#: Words of the corpus that are taken as guessable; those that most of its distinct texts hold.
 WORDS_KEPT = 50_000
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _DATE = re.compile(
@@ -142,18 +143,33 @@ SPANS = ArrayType(
 
 
 def word_ranks(df: DataFrame, text: Column, kept: int = WORDS_KEPT) -> dict[str, int]:
-    """Ranks of guessable words: the fixed ones, then the most frequent of all texts. At most ``kept`` words reach the driver:
-    those of the highest steps of frequency (an eighth of a power of two each) that hold no more than that together."""
-    words = df.select(F.explode(F.split(F.lower(text), r"[^\p{L}]+")).alias("word"))
+    """Ranks of guessable words: the fixed ones, then the ``kept`` that most of the distinct texts hold, ties in order of the word.
+
+    Values in the context of a credential are no words of a text. The words of each text are shuffled once, by a hash of the text, so
+    that copies count once. Exactly ``kept`` words reach the driver (all, if there are fewer): the steps of frequency (an eighth of a
+    power of two each) that fit whole, and the first words of the next step, which is range-partitioned for that.
+    """
+    bare = text
+    for pattern in (CONTEXT, ASSIGN):  # what precedes the last group stays
+        at = pattern.pattern.rindex("([")
+        bare = F.regexp_replace(bare, f"(?i)(?<kept>{pattern.pattern[:at]}){pattern.pattern[at:]}", "${kept} ")
+    bag = F.array_join(F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+")), " ")
+    bags = df.filter(text.isNotNull()).select(F.unhex(F.md5(text)).alias("key"), bag.alias("bag"))
+    bags = bags.groupBy("key").agg(F.first("bag").alias("bag"))
+    words = bags.select(F.explode(F.split("bag", " ")).alias("word"))
     counts = words.filter(F.length("word").between(3, 24)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = materialize(counts.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "words")
-    held, least = 0, None
+    left, least, cut = kept, None, None
     for row in sorted(counts.groupBy("step").count().collect(), reverse=True):  # some hundred steps at most
-        held += row["count"]
-        if held > kept:
+        if row["count"] > left:
+            cut = row["step"]
             break
-        least = row["step"]
+        left, least = left - row["count"], row["step"]
     top = counts.filter(F.col("step") >= least).select("n", "word").collect() if least is not None else []
+    if cut is not None and left:
+        step = counts.filter(F.col("step") == cut).select((-F.col("n")).alias("less"), "word")
+        placed = serial_ids(step, ["less", "word"], name="place", unique=True)
+        top += placed.filter(F.col("place") <= left).select((-F.col("less")).alias("n"), "word").collect()
     ranks = {word: i + 1 for i, word in enumerate(COMMON)}
     for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
         ranks.setdefault(row["word"], len(ranks) + 1)

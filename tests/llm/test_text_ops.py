@@ -293,3 +293,25 @@ def test_short_items_and_scripts_without_spaces(spark):
     assert got == {d[0]: d[2] for d in docs}
     short = latent_decon.Decontaminator(df, F.col("text"), spark.createDataFrame(items[:1], "item_id long, text string"))
     assert df.filter(F.size(short.leaks(F.col("text"))) > 0).count() == 2
+
+
+def test_word_ranks_are_exact_and_no_secret_becomes_a_word(spark):
+    dice = random.Random(9)
+    known = sorted(set(invented(dice, 400)))
+    texts = [" ".join(dice.choices(known, weights=range(1, len(known) + 1), k=30)) for _ in range(60)]
+    secret = "some text pwd: qzxvbnmwtrkj, mytoken = kwpzjhvqxbtr and api_key='Wjqxkzpvbhtm' end"
+    rows = texts + texts[:20] * 3 + [secret] * 7 + [secret + " again", None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    bare = ["some text pwd  mytoken  and api_key end", "some text pwd  mytoken  and api_key end again"]
+    counts = Counter(w for t in texts + bare for w in set(re.split("[^a-z]+", t)) if 3 <= len(w) <= 24)
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    for kept in (0, 1, 37, 150, 100_000):
+        ranks = secrets.word_ranks(df, F.col("text"), kept)
+        want = {w: i + 1 for i, w in enumerate(secrets.COMMON)}
+        for w in order[:kept]:
+            want.setdefault(w, len(want) + 1)
+        assert ranks == want
+    found = secrets.with_spans(df, F.col("text"), "found").filter(F.col("text").startswith("some")).select("found").collect()
+    assert len(found) == 8
+    for (spans,) in found:
+        assert secret.index("qzx") in [s["start"] for s in spans if s["kind"] == "guess"]
