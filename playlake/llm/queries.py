@@ -3,13 +3,26 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from playlake.llm import bpe, graph_ann, latent_decon, page_diff, rule_ensemble, secrets, shuffle_shards, simhash, suffix_dedup, url_filter
+from playlake.llm import (
+    bpe,
+    graph_ann,
+    latent_decon,
+    oracles,
+    page_diff,
+    rule_ensemble,
+    secrets,
+    shuffle_shards,
+    simhash,
+    suffix_dedup,
+    url_filter,
+    zone_clusters,
+)
 from playlake.llm.common import table
 from playlake.storage import materialize
 from playlake.workload.registry import Query
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def register(run: Query) -> Query:
@@ -150,3 +163,9 @@ def op3_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     texts = page_diff.main_texts(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "url", "html", from_scan=True)
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register
+def op12_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after three rounds of 16 centroids."""
+    return zone_clusters.clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", dims=64, k=16, rounds=3, scale=64, seed=1)
