@@ -14,6 +14,7 @@ from playlake.llm import (
     shuffle_shards,
     simhash,
     suffix_dedup,
+    turn_repair,
     url_filter,
     zone_clusters,
 )
@@ -169,3 +170,23 @@ def op3_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of every vector after three rounds of 16 centroids."""
     return zone_clusters.clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", dims=64, k=16, rounds=3, scale=64, seed=1)
+
+
+@register
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = turn_repair.damaged(turns, "conv_id", "turn", "role", "text")
+    _, found = turn_repair.repaired(rows, "conv", "turn", "role", "text")
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].eqNullSafe(found["conv"]), "left")
+
+    def number(name: str):
+        return F.coalesce(name, F.lit(0)).cast("long").alias(name)
+
+    return joined.select(
+        "conv_id",
+        *map(number, ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
