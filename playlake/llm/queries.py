@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from playlake.llm import (
+    bbit_minhash,
     bpe,
     graph_ann,
     latent_decon,
@@ -190,3 +191,9 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@register
+def op13_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of every text and the component of its near copies."""
+    return bbit_minhash.near_copies(table(spark, sf_dir, "documents"), "doc_id", "text", words=4, percent=80, from_scan=True)
