@@ -162,6 +162,8 @@ class _Search:
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The ``pairs`` (u, v) whose full sets are similar enough."""
         pairs = materialize(pairs, "candidates")
+        if pairs.isEmpty():
+            return pairs
         ends = pairs.select(F.col("u").alias("end")).union(pairs.select("v")).distinct()
         found = ends.join(self.classes.select("c", "file", "row"), F.col("end") == F.col("c")).select("c", F.col("file").alias("f"), F.col("row").alias("r"))
         # Each text once; a pair that is shuffled with its texts takes them compressed by Spark.
@@ -263,6 +265,7 @@ def near_copies(
 
     Texts are linked if their sets share ``percent`` of a hundred of their union at least. ``from_scan``: ``df`` is a scan of files as it is.
     """
+    spark = df.sparkSession
     texts = _located(df, doc_id, text, from_scan)
     id_type = texts.schema["id"].dataType.simpleString()
     form = f"id {id_type}, file long, row long, size long, h1 long, h2 long, bands array<long>, planes array<long>"
@@ -275,12 +278,14 @@ def near_copies(
     sizes = placed.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("of")
     shared = materialize(skew_join(placed, sizes, {"bucket": "of"}, "inner").select("bucket", "c"), "shared")
     search = _Search(texts, classes.drop("bands"), words, percent)
-    links, roots, members = None, None, shared.withColumn("root", F.col("c"))
+    roots, members = spark.createDataFrame([], "node long, root long"), shared.withColumn("root", F.col("c"))
     for step in range(stars + 1):
         candidates = search.stars(members, step) if step < stars else search.between(members, block)
         found = search.confirmed(candidates)
-        links = found if links is None else links.union(found)
-        roots = components(links).select("node", "root")
+        if found.isEmpty():
+            continue
+        # What is connected already goes on as links to the roots.
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
         if step < stars:
             rooted = skew_join(shared, roots, {"c": "node"}, "left").select("bucket", "c", F.coalesce("root", "c").alias("root"))
             members = materialize(rooted, "members")
