@@ -10,8 +10,10 @@ Two texts at the least similarity share no band with a probability of (1 - 0.8 *
 
 Texts with equal sets are one class. Classes in large groups are not compared in pairs: first each class is compared with one member of each of its
 buckets (a star), and the confirmed links make components. Then only classes of different components are compared within a
-bucket, those outside its largest component with all others, in blocks of ``BLOCK`` rows on either side. So a group of near copies costs a few
-comparisons for each member, whatever its size, and no link between components is lost. The stars change the cost only, not the result.
+bucket, those outside its largest component with all others, in blocks of ``BLOCK`` rows on either side. A first pass over the signatures finds the
+classes that have a candidate at all, a second one brings the sets of these and confirms; it returns a link only where it joins what was apart. So no pass
+returns more rows than it reads, whatever the size of a group, and no link between components is lost. The stars change the cost
+only, not the result.
 
 Null texts count as empty; a text without words has an empty set, no link and its own id as component. Rows with a null id take part;
 the component of rows whose ids are all null is null. Repeated rows and ids are rows of their own. Sets are compared by 64-bit hashes of shingles
@@ -148,7 +150,7 @@ def _located(df: DataFrame, doc_id: str, text: str, from_scan: bool) -> DataFram
 
 class _Search:
     def __init__(self, texts: DataFrame, classes: DataFrame, words: int, percent: int):
-        self.texts, self.classes, self.words, self.percent = texts, classes, words, percent
+        self.spark, self.texts, self.classes, self.words, self.percent = texts.sparkSession, texts, classes, words, percent
         self.least = least_agreement(percent)
 
     def near(self, pairs: DataFrame) -> DataFrame:
@@ -159,15 +161,18 @@ class _Search:
         agreeing = joined.filter(sized).select("a", "b", _agreeing("planes_a", "planes_b").alias("agreeing"))
         return agreeing.filter(F.col("agreeing") >= self.least)
 
+    def texts_of(self, classes: DataFrame) -> DataFrame:
+        """(c, text) of one column of classes, each once."""
+        ends = classes.toDF("end").distinct()
+        found = ends.join(self.classes, F.col("end") == F.col("c")).select("c", F.col("file").alias("f"), F.col("row").alias("r"))
+        return materialize(self.texts.join(found, (F.col("file") == F.col("f")) & (F.col("row") == F.col("r"))).select("c", "text"), "sets")
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The ``pairs`` (u, v) whose full sets are similar enough."""
         pairs = materialize(pairs, "candidates")
         if pairs.isEmpty():
             return pairs
-        ends = pairs.select(F.col("u").alias("end")).union(pairs.select("v")).distinct()
-        found = ends.join(self.classes.select("c", "file", "row"), F.col("end") == F.col("c")).select("c", F.col("file").alias("f"), F.col("row").alias("r"))
-        # Each text once; a pair that is shuffled with its texts takes them compressed by Spark.
-        sets = materialize(self.texts.join(found, (F.col("file") == F.col("f")) & (F.col("row") == F.col("r"))).select("c", "text"), "sets")
+        sets = self.texts_of(pairs.select("u").union(pairs.select("v")))
         with_u = skew_join(pairs, sets.select(F.col("c").alias("cu"), F.col("text").alias("text_u")), {"u": "cu"}, "inner")
         with_both = skew_join(with_u, sets.select(F.col("c").alias("cv"), F.col("text").alias("text_v")), {"v": "cv"}, "inner")
         words, percent = self.words, self.percent
@@ -197,7 +202,7 @@ class _Search:
         return best.select(F.col("a").alias("u"), F.col("best.b").alias("v"))
 
     def between(self, members: DataFrame, block: int) -> DataFrame:
-        """Candidates (u, v) of different components that share a bucket: all there are."""
+        """Links (u, v) between components: enough to connect all that share a bucket and are similar."""
         parts = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         major = parts.groupBy(F.col("bucket").alias("of")).agg(F.max(F.struct("n", "root")).alias("major"), F.sum("n").alias("n_all"))
         major = major.filter("n_all > major.n").select("of", F.col("major.root").alias("major"), "n_all", (F.col("n_all") - F.col("major.n")).alias("n_minor"))
@@ -209,47 +214,94 @@ class _Search:
         # Every class stays in its block and is met by all blocks of queries; classes outside the largest component are queries.
         resident = rows.select("bucket", "c", "root", "is_major", "b", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"), F.lit(False).alias("asks"))
         queries = rows.filter("not is_major").select("bucket", "c", "root", "is_major", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("b"), "q", F.lit(True).alias("asks"))
-        about = self.classes.select(F.col("c").alias("of_c"), "size", "planes")
+        about = self.classes.select(F.col("c").alias("of_c"), "size", "planes", "bands")
         full = skew_join(resident.union(queries), about, {"c": "of_c"}, "inner").drop("of_c")
-        ordered = full.repartition("bucket", "b", "q").sortWithinPartitions("bucket", "b", "q", "asks")
-        least, percent = self.least, self.percent
-        return ordered.mapInPandas(lambda batches: _compare(batches, least, percent), "u long, v long").distinct()
-
-
-def _compare(batches: Iterator[pd.DataFrame], least: int, percent: int) -> Iterator[pd.DataFrame]:
-    """Candidates in each group (bucket, b, q) of a sorted partition; a group holds two blocks."""
-    rest = None
-    for batch in _and_none(batches):
-        if batch is not None:
-            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if rest is None or not len(rest):
-            continue
-        keys = rest[["bucket", "b", "q"]].to_numpy()
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        bounds = [0, *cuts.tolist()] + ([len(rest)] if batch is None else [])
-        for start, end in zip(bounds, bounds[1:]):
-            pairs = _pairs(rest.iloc[start:end], least, percent)
-            if len(pairs):
-                yield pairs
-        rest = rest.iloc[bounds[-1] :]
+        least, percent, words = self.least, self.percent, self.words
+        flagged = materialize(_in_groups(full, lambda group: _with_candidates(group, least, percent), full.schema), "near-rows")
+        if flagged.isEmpty():
+            return self.spark.createDataFrame([], "u long, v long")
+
+        def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            shingles = Shingles(words)
+            for batch in batches:
+                yield pd.DataFrame({"of_c": batch["c"], "shingles": [shingles.of(text).tobytes() for text in batch["text"]]})
+
+        sets = self.texts_of(flagged.select("c")).mapInPandas(packed, "of_c long, shingles binary")
+        whole = skew_join(flagged, sets, {"c": "of_c"}, "inner").drop("of_c")
+        return materialize(_in_groups(whole, lambda group: _linked(group, least, percent), "u long, v long"), "links-between")
+
 
+def _in_groups(rows: DataFrame, of_group, schema) -> DataFrame:
+    """``of_group`` of the rows of each (bucket, b, q); a group holds two blocks."""
 
-def _pairs(group: pd.DataFrame, least: int, percent: int) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in _and_none(batches):
+            if batch is not None:
+                rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if rest is None or not len(rest):
+                continue
+            keys = rest[["bucket", "b", "q"]].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            bounds = [0, *cuts.tolist()] + ([len(rest)] if batch is None else [])
+            for start, end in zip(bounds, bounds[1:]):
+                out = of_group(rest.iloc[start:end])
+                if len(out):
+                    yield out
+            rest = rest.iloc[bounds[-1] :]
+
+    return rows.repartition("bucket", "b", "q").sortWithinPartitions("bucket", "b", "q", "asks", "c").mapInPandas(run, schema)
+
+
+def _candidates(group: pd.DataFrame, least: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each query of a group its candidates, as places in the group, the most similar first. A pair with several common buckets is one
+    of the bucket with the least number."""
     asks = group["asks"].to_numpy()
-    c, root, size = (group[name].to_numpy() for name in ("c", "root", "size"))
-    major = group["is_major"].to_numpy()
     here, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
+    if not len(here) or not len(asking):
+        return
+    c, root, size, major = (group[name].to_numpy() for name in ("c", "root", "size", "is_major"))
+    planes, bands = (np.stack(group[name].to_numpy()) for name in ("planes", "bands"))
+    bucket, far = group["bucket"].iloc[0], np.iinfo(np.int64).max
+    for i in asking.tolist():
+        fits = (root[here] != root[i]) & (np.minimum(size[here], size[i]) * 100 >= np.maximum(size[here], size[i]) * percent) & (major[here] | (c[here] < c[i]))
+        others = here[fits]
+        apart = (planes[others] ^ planes[i]).view(np.uint64).reshape(len(others), BITS, _WORDS)
+        agreeing = MINIMA - np.bitwise_count(np.bitwise_or.reduce(apart, axis=1)).sum(axis=1, dtype=np.int64)
+        others, agreeing = others[agreeing >= least], agreeing[agreeing >= least]
+        if len(others):
+            first = np.where(bands[others] == bands[i], bands[i], far).min(axis=1) == bucket
+            others, agreeing = others[first], agreeing[first]
+            if len(others):
+                yield i, others[np.argsort(-agreeing, kind="stable")]
+
+
+def _with_candidates(group: pd.DataFrame, least: int, percent: int) -> pd.DataFrame:
+    """The rows of a group that have a candidate or are one."""
+    kept = np.zeros(len(group), bool)
+    for i, others in _candidates(group, least, percent):
+        kept[i] = kept[others] = True
+    return group[kept]
+
+
+def _linked(group: pd.DataFrame, least: int, percent: int) -> pd.DataFrame:
+    """Confirmed links of a group that join components not joined by earlier ones."""
+    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+    names, root = np.unique(group["root"].to_numpy(), return_inverse=True)
+    c, up = group["c"].to_numpy(), np.arange(len(names))
     found = []
-    if len(here) and len(asking):
-        planes = np.stack(group["planes"].to_numpy()).view(np.uint64)
-        for i in asking.tolist():
-            fits = (root[here] != root[i]) & (np.minimum(size[here], size[i]) * 100 >= np.maximum(size[here], size[i]) * percent) & (major[here] | (c[here] < c[i]))
-            others = here[fits]
-            if not len(others):
-                continue
-            apart = (planes[others] ^ planes[i]).reshape(len(others), BITS, _WORDS)
-            agreeing = MINIMA - np.bitwise_count(np.bitwise_or.reduce(apart, axis=1)).sum(axis=1, dtype=np.int64)
-            found += [(int(c[i]), j) for j in c[others[agreeing >= least]].tolist()]
+    for i, others in _candidates(group, least, percent):
+        for j in others.tolist():
+            a, b = root[i], root[j]
+            while up[a] != a:
+                a = up[a]
+            while up[b] != b:
+                b = up[b]
+            if a != b:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    up[a] = b
+                    found.append((int(c[i]), int(c[j])))
     return pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
 
 
@@ -277,11 +329,10 @@ def near_copies(
     placed = classes.select("c", F.explode("bands").alias("bucket"))
     sizes = placed.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("of")
     shared = materialize(skew_join(placed, sizes, {"bucket": "of"}, "inner").select("bucket", "c"), "shared")
-    search = _Search(texts, classes.drop("bands"), words, percent)
+    search = _Search(texts, classes, words, percent)
     roots, members = spark.createDataFrame([], "node long, root long"), shared.withColumn("root", F.col("c"))
     for step in range(stars + 1):
-        candidates = search.stars(members, step) if step < stars else search.between(members, block)
-        found = search.confirmed(candidates)
+        found = search.confirmed(search.stars(members, step)) if step < stars else search.between(members, block)
         if found.isEmpty():
             continue
         # What is connected already goes on as links to the roots.
