@@ -12,7 +12,7 @@ Null texts count as empty; the empty text has no ids. The ids of a text are pack
 import base64
 import re
 from collections.abc import Callable
-from struct import pack
+from struct import Struct
 
 import ahocorasick
 import numpy as np
@@ -21,8 +21,9 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
-#: Entries of the per-process memories; they are emptied when full, which costs time only.
-PIECES_KEPT = 200_000
+#: Entries of the per-process memories; they are emptied when full, which costs time only. A piece takes some 200 bytes, a match or a pair 100:
+#: 60 MB for all of them.
+PIECES_KEPT = 50_000
 PAIRS_KEPT = 300_000
 #: Bytes by which most longest matches are decided.
 NEAR = 6
@@ -120,7 +121,9 @@ class Ranks:
         given_up = bytearray(n + 1)
         out: list[int] = []
         at, before = 0, -1
-        token = self.longest(text, 0) if n else None
+        token = near.get(text[:NEAR]) if n else None
+        if token is None and n:
+            token = self.longest(text, 0)
         while n:
             if token is None:
                 raise ValueError("the vocabulary lacks a byte")
@@ -175,6 +178,10 @@ class Memory(dict):
         return value
 
 
+#: Packing of short lists of ids.
+_PACK = [Struct(f"<{n}I").pack for n in range(33)]
+
+
 class Codec:
     """With the pattern ``WORDS`` text is cut before each run of white space first: none of its matches crosses such a place, as
     words, numbers and signs take at most one space, in front. So whole chunks can be remembered, white space and word together."""
@@ -187,7 +194,7 @@ class Codec:
 
     def _piece(self, piece: str) -> bytes:
         ids = self.ranks.encode_piece(piece if piece.isascii() else piece.encode().decode("latin-1"))
-        return pack(f"<{len(ids)}I", *ids)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         body = chunk[1:] if chunk[0] == " " else chunk
