@@ -7,11 +7,10 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.operators.facts import song_catalog
 from playlake.plans import build_lake, build_serving, build_star, build_warehouse
-from playlake.schemas import EVENT_LOG, STAR
 from playlake.sinks import create_database
 from playlake.streaming import incremental
+from playlake.streaming.star_load import StarLoad, read_lines
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,8 +30,15 @@ def parser() -> argparse.ArgumentParser:
     )
     build("star", "one row per key, exact match, serial ids", "songs", "logs", "out")
     build("serving", "consolidated CSV and one table per access path", "csv", "out")
-    load = build("load", "take new log files into a star, batch by batch", "star", "logs", "out", "checkpoint")
+    load = build("load", "take new log and song files into a star, batch by batch", "out", "checkpoint")
+    load.add_argument("--logs", help="folder of log files, one object to a line")
+    load.add_argument("--songs", help="folder of song files, one object to a file; they may come after the plays")
+    load.add_argument("--star", help="a built star to go on from, if nothing is loaded yet; files it was built from are named below")
+    load.add_argument("--star-logs", help="folder of the logs that star was built from")
+    load.add_argument("--star-songs", help="folder of the songs that star was built from")
     load.add_argument("--files-per-batch", type=int, default=1)
+    for sub in (load, builds.choices["serving"]):
+        sub.add_argument("--null-keys", choices=("error", "drop"), default="error", help="stop at rows without a key, or leave them out")
     return top
 
 
@@ -45,12 +51,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     if args.build == "star":
         return build_star(spark, args.songs, args.logs, args.out)
     if args.build == "serving":
-        return build_serving(spark, args.csv, args.out)
-    songs, artists = (spark.read.schema(STAR[t]).parquet(f"{args.star}/{t}") for t in ("songs", "artists"))
-    stream = incremental.read_files(spark, args.logs, EVENT_LOG, files_per_trigger=args.files_per_batch)
-    batches = incremental.star_batches(song_catalog(songs, artists), args.out)
-    incremental.run_batches(stream, batches, args.checkpoint).awaitTermination()
-    return incremental.current_star(spark, args.out)
+        return build_serving(spark, args.csv, args.out, args.null_keys)
+    star = StarLoad(spark, args.out, null_keys=args.null_keys)
+    if args.star and not star.manifest.version():
+        star.seed(args.star, args.star_songs, args.star_logs)
+    if args.songs:
+        songs = read_lines(spark, args.songs, args.files_per_batch, whole=True)
+        incremental.run_batches(songs, star.load_songs, f"{args.checkpoint}/songs").awaitTermination()
+    if args.logs:
+        logs = read_lines(spark, args.logs, args.files_per_batch)
+        incremental.run_batches(logs, star.load_events, f"{args.checkpoint}/logs").awaitTermination()
+    return star.tables()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -4,10 +4,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from playlake.operators import serving
-from playlake.schemas import CONSOLIDATED_POSITIONS, EVENT_CSV
+from playlake.schemas import CONSOLIDATED_POSITIONS, CORRUPT_COLUMN, EVENT_CSV
 from playlake.sinks.files import write_csv_quoted, write_parquet
-from playlake.sources.files import read_csv
-from playlake.storage import materialize
+from playlake.sources.files import read_csv, split_corrupt
+from playlake.sources.records import read_csv_records
 
 CONSOLIDATED = StructType([EVENT_CSV[i] for i in CONSOLIDATED_POSITIONS])
 
@@ -15,14 +15,20 @@ CONSOLIDATED = StructType([EVENT_CSV[i] for i in CONSOLIDATED_POSITIONS])
 def consolidate(spark: SparkSession, csv_path: str, out: str, staging: str | None = None) -> DataFrame:
     """Write the kept rows and columns of all CSVs below ``csv_path`` as one data set to ``out`` and return the rows.
 
-    The CSVs are parsed once, into Parquet at ``staging``, which is what the returned rows are read from.
+    The CSVs are parsed once, into Parquet at ``staging``, which is what the returned rows are read from. Damaged rows are left out; they
+    are in the same Parquet, see :func:`parse_events`.
     """
-    events = read_csv(spark, csv_path, EVENT_CSV, recursive=True, name_glob="*.csv")
-    kept = materialize(serving.at_positions(serving.with_artist(events)), "consolidated", staging)
+    good, _ = parse_events(spark, csv_path, staging)
+    kept = serving.at_positions(serving.with_artist(good))
     write_csv_quoted(kept, out)
     return kept
 
 
+def parse_events(spark: SparkSession, csv_path: str, staging: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of all CSVs below ``csv_path``, and the damaged ones as text. Quoted fields may hold line breaks."""
+    return split_corrupt(read_csv_records(spark, csv_path, EVENT_CSV, recursive=True, name_glob="*.csv"), path=staging)
+
+
 def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
     """A consolidated CSV data set. Empty text is null: every field is quoted, so the file does not tell them apart."""
     rows = read_csv(spark, path, CONSOLIDATED)
@@ -34,12 +40,18 @@ def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def build_serving(spark: SparkSession, csv_path: str, out: str) -> dict[str, DataFrame]:
-    """Write the consolidated CSV and the three query-first tables below ``out`` and return them as read back."""
-    events = consolidate(spark, csv_path, f"{out}/events_csv", f"{out}/staging")
+def build_serving(spark: SparkSession, csv_path: str, out: str, null_keys: str = "error") -> dict[str, DataFrame]:
+    """Write the consolidated CSV and the three query-first tables below ``out`` and return them as read back.
+
+    ``rejected`` are the damaged rows, which no table holds. ``null_keys`` says what becomes of rows without a key: "error" stops the job,
+    "drop" leaves them out of the table.
+    """
+    staging = f"{out}/staging"
+    events = consolidate(spark, csv_path, f"{out}/events_csv", staging)
     tables = {"events_csv": read_consolidated(spark, f"{out}/events_csv")}
     for name in serving.TABLES:
-        rows = serving.serve(events, name)
+        rows = serving.serve(events, name, null_keys=null_keys)
         write_parquet(rows, f"{out}/{name}")
         tables[name] = spark.read.schema(rows.schema).parquet(f"{out}/{name}")
-    return tables
+    parsed = spark.read.parquet(staging)
+    return tables | {"rejected": parsed.filter(F.col(CORRUPT_COLUMN).isNotNull())}

@@ -11,6 +11,8 @@ from playlake.sources.files import (
     split_corrupt,
     union_sources,
 )
+from playlake.sources.judged import judged
+from playlake.sources.records import read_csv_records
 from playlake.sources.tables import read_leaves, read_partitioned, read_table
 
 __all__ = [
@@ -18,8 +20,10 @@ __all__ = [
     "copy_by_paths",
     "count_files",
     "count_listed",
+    "judged",
     "read_csv",
     "read_csv_inferred",
+    "read_csv_records",
     "read_json_lines",
     "read_json_objects",
     "read_leaves",

@@ -2,7 +2,7 @@
 
 Each batch writes its own directory ``batch=<id>``, replacing what a failed attempt of the same batch left there, and
 never changes what other batches wrote. Upserted tables are kept as states and folded when read, so a file that comes
-late still lands in its place.
+late still lands in its place. For a whole star see :mod:`playlake.streaming.star_load`.
 """
 
 from collections.abc import Callable
@@ -11,14 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from playlake.functions.casts import conform
-from playlake.operators import dims
-from playlake.operators.facts import first_song
-from playlake.operators.ids import arrival_ids
-from playlake.operators.upsert import USERS_RULE, UpsertRule, fold, from_state, to_state
-from playlake.plans.star import songplay_facts, user_rows
-from playlake.schemas import STAGING_EVENTS, STAR
-from playlake.storage import materialize
+from playlake.operators.upsert import UpsertRule, fold, from_state, to_state
 
 
 def read_files(
@@ -65,43 +58,3 @@ def compact(spark: SparkSession, table_path: str, rule: UpsertRule, out: str) ->
     state = spark.read.parquet(table_path)
     last = state.agg(F.max("batch")).first()[0]
     fold(state.drop("batch"), rule).write.mode("overwrite").parquet(batch_path(out, last))
-
-
-def star_batches(catalog: DataFrame, out: str, page: str = dims.PLAY_PAGE):
-    """A ``load`` function that takes event-log rows into ``users``, ``time`` and ``songplays`` below ``out``.
-
-    The catalog is reduced to its first song per match key once, for all batches.
-    """
-    first_songs = materialize(first_song(catalog), "first-songs")
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        plays = materialize(
-            conform(dims.plays(batch, page), STAGING_EVENTS), "batch", batch_path(f"{out}/events", batch_id)
-        )
-        upsert_batches(USERS_RULE, f"{out}/users", user_rows)(plays, batch_id)
-        times = dims.time_dimension(plays, page, "milli", "name")
-        times.write.mode("overwrite").parquet(batch_path(f"{out}/time", batch_id))
-        totals = f"{out}/songplays_so_far"
-        before = 0
-        if batch_id > 0:
-            before = session.read.parquet(batch_path(totals, batch_id - 1)).first()["n_rows"]
-        songplays = songplay_facts(arrival_ids(plays, start=before + 1), first_songs)
-        songplays.write.mode("overwrite").parquet(batch_path(f"{out}/songplays", batch_id))
-        so_far = plays.agg((F.count(F.lit(1)) + before).alias("n_rows"))
-        so_far.write.mode("overwrite").parquet(batch_path(totals, batch_id))
-
-    return load
-
-
-def current_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """``users``, ``time`` and ``songplays`` as of the batches loaded so far."""
-
-    def rows(table: str) -> DataFrame:
-        return spark.read.schema(STAR[table]).parquet(f"{out}/{table}").select(*STAR[table].names)
-
-    return {
-        "users": current_table(spark, f"{out}/users", USERS_RULE),
-        "time": rows("time").distinct(),
-        "songplays": rows("songplays"),
-    }

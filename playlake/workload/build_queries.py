@@ -13,6 +13,7 @@ from playlake.workload.file_queries import (
     write_csvs,
     write_daily_logs,
     write_damaged_logs,
+    write_multiline_csv,
     write_songs,
 )
 from playlake.workload.registry import query
@@ -171,4 +172,16 @@ def star_songplays(spark, sf_dir):
     ),
 )
 def serving_build(spark, sf_dir):
-    return row_counts(build_serving(spark, write_csvs(spark, sf_dir), fresh_path(spark, "serving")))
+    tables = build_serving(spark, write_csvs(spark, sf_dir), fresh_path(spark, "serving"))
+    return row_counts({name: df for name, df in tables.items() if name != "rejected"})
+
+
+@query(
+    "serving_multiline",
+    WITH
+    + "SELECT \"sessionId\", \"itemInSession\", replace(artist, ' (live)', ' ' || chr(10) || '\"live\", at home') AS artist, song, length FROM plays"
+    " QUALIFY row_number() OVER (PARTITION BY \"sessionId\", \"itemInSession\" ORDER BY artist DESC, song DESC, length DESC) = 1",
+)
+def serving_multiline(spark, sf_dir):
+    """The table by session and item, built of one CSV file whose quoted fields hold line breaks."""
+    return build_serving(spark, write_multiline_csv(spark, sf_dir), fresh_path(spark, "serving"))["session_item"]

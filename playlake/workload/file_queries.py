@@ -148,6 +148,50 @@ def scan_csv(spark, sf_dir):
     return sources.read_csv(spark, write_csvs(spark, sf_dir), schemas.EVENT_CSV)
 
 
+def write_multiline_csv(spark, sf_dir: str) -> str:
+    """The events as one CSV file; some artists are credited in two lines, with a quote, and a few locations in three."""
+    path = fresh_path(spark, "csv")
+    events = staged_events(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.EVENT_CSV])
+    credited = events.withColumn("artist", F.replace("artist", F.lit(" (live)"), F.lit(' \n"live", at home')))
+    spread = F.when(F.col("sessionId") % 7 == 0, F.replace("location", F.lit(", "), F.lit(",\n\n"))).otherwise(F.col("location"))
+    one = credited.withColumn("location", spread).coalesce(1)
+    one.write.option("header", True).option("escape", '"').option("lineSep", "\n").csv(path)
+    return path
+
+
+MULTILINE = WITH + (
+    "SELECT * EXCLUDE (\"userAgent\") REPLACE (replace(artist, ' (live)', ' ' || chr(10) || '\"live\", at home') AS artist, CAST(ts AS DOUBLE) AS ts,"
+    " CASE WHEN \"sessionId\" % 7 = 0 THEN replace(location, ', ', ',' || chr(10) || chr(10)) ELSE location END AS location) FROM ev"
+)
+
+
+@query("scan_csv_multiline", MULTILINE)
+def scan_csv_multiline(spark, sf_dir):
+    """One file, read by many tasks though its fields hold line breaks."""
+    rows = sources.read_csv_records(spark, write_multiline_csv(spark, sf_dir), schemas.EVENT_CSV)
+    return rows.filter(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)
+
+
+@query(
+    "csv_rejected",
+    WITH + "SELECT page, \"sessionId\" AS session_id FROM ev WHERE page IN ('error', 'signup') UNION ALL SELECT 'kept', count(*) FROM ev WHERE page NOT IN ('error', 'signup')",
+)
+def csv_rejected(spark, sf_dir):
+    """Damaged CSV rows as text: errors lack their last columns, sign-ups have a word for the item number; and how many rows are kept."""
+    path = fresh_path(spark, "csv")
+    events = staged_events(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType).cast("string").alias(f.name) for f in schemas.EVENT_CSV])
+    spelled = events.withColumn("itemInSession", F.when(F.col("page") == "signup", F.concat(F.lit("no "), "itemInSession")).otherwise(F.col("itemInSession")))
+    line = F.to_csv(F.struct(*spelled.columns), {"escape": '"'})
+    cut = F.when(F.col("page") == "error", F.regexp_replace(line, ",[^,]*,[^,]*$", "")).otherwise(line)
+    texts = spelled.select(cut.alias("value"))
+    header = spark.range(1).select(F.lit(",".join(spelled.columns)).alias("value"))  # each file begins with one
+    header.union(texts).coalesce(1).write.text(path)
+    rows = sources.read_csv_records(spark, path, schemas.EVENT_CSV)
+    good, bad = sources.split_corrupt(rows)
+    session = F.coalesce("sessionId", F.lit(-1)).cast("bigint").alias("session_id")
+    return bad.select("page", session).union(good.agg(F.lit("kept"), F.count("*")))
+
+
 @query("scan_csv_inferred", WITH + 'SELECT song, artist, "itemInSession", length FROM ev WHERE song IS NOT NULL')
 def scan_csv_inferred(spark, sf_dir):
     path = fresh_path(spark, "csv")

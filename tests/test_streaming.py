@@ -5,9 +5,8 @@ import os
 
 from playlake import schemas
 from playlake.operators import upsert as up
-from playlake.plans import build_star
 from playlake.streaming import incremental, topics
-from tests.rows import event, song, tuples
+from tests.rows import event, tuples
 
 
 def write_json(path, rows):
@@ -43,43 +42,6 @@ def test_reader_goes_on_or_starts_over(spark, out):
     assert consume("again", "c2") == 3
 
 
-# Out of order: the file that comes first holds the newest rows.
-FILES = (
-    [dict(ts=3000, level="paid", firstName="New", itemInSession=3), dict(ts=3500, userId=8, itemInSession=4)],
-    [dict(ts=1000, level="free", firstName="Old", itemInSession=1), dict(page="Home", userId=None, itemInSession=9)],
-    [dict(ts=2000, level="free", song="Nope", itemInSession=2)] * 2,
-)
-
-
-def test_file_by_file_equals_one_run(spark, out):
-    write_json(f"{out}/songs/1.json", [song()])
-    star = None
-    catalog = spark.createDataFrame([song()], schemas.SONG_META)
-    load = incremental.star_batches(catalog, out + "/star")
-    for i, rows in enumerate(FILES):
-        write_json(f"{out}/logs/2018/{i}.json", [log(**r) for r in rows])
-        stream = incremental.read_files(spark, out + "/logs", schemas.EVENT_LOG)
-        incremental.run_batches(stream, load, out + "/checkpoint").awaitTermination()
-        star = incremental.current_star(spark, out + "/star")
-        assert star["songplays"].count() == sum(r.get("page") != "Home" for f in FILES[: i + 1] for r in f)
-    whole = build_star(spark, out + "/songs", out + "/logs", out + "/whole")
-    for table in ("users", "time"):
-        assert tuples(star[table]) == tuples(whole[table])
-    assert tuples(star["users"], "user_id", "first_name", "level") == [(7, "Old", "paid"), (8, "Flo", "free")]
-    assert tuples(star["songplays"].drop("songplay_id")) == tuples(whole["songplays"].drop("songplay_id"))
-    for facts in (star["songplays"], whole["songplays"]):
-        assert tuples(facts, "songplay_id") == [(i + 1,) for i in range(5)]
-    assert whole["violations"].count() == 0
-
-    # A batch that is run again replaces what it wrote.
-    before = tuples(star["songplays"])
-    again = spark.read.schema(schemas.EVENT_LOG).json(f"{out}/logs/2018/2.json")
-    load(again, 2)
-    after = incremental.current_star(spark, out + "/star")
-    assert tuples(after["songplays"]) == before
-    assert tuples(after["users"]) == tuples(whole["users"])
-
-
 def test_compaction_keeps_the_answer_and_later_batches(spark, out):
     rule = up.UpsertRule(keys=("k",), first=("a",), last=("b",), order=("t",))
     schema = "k int, a string, b string, t int"
