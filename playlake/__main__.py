@@ -33,9 +33,10 @@ def parser() -> argparse.ArgumentParser:
     load = build("load", "take new log and song files into a star, batch by batch", "out", "checkpoint")
     load.add_argument("--logs", help="folder of log files, one object to a line")
     load.add_argument("--songs", help="folder of song files, one object to a file; they may come after the plays")
-    load.add_argument("--star", help="a built star to go on from, if nothing is loaded yet; files it was built from are named below")
-    load.add_argument("--star-logs", help="folder of the logs that star was built from")
-    load.add_argument("--star-songs", help="folder of the songs that star was built from")
+    load.add_argument("--star", help="a built star whose songs and artists are there from the start")
+    load.add_argument("--go-on", action="store_true", help="its users, times and plays are there too, and ids go on from its last")
+    load.add_argument("--star-logs", help="folder of logs that count as loaded, with --go-on")
+    load.add_argument("--star-songs", help="folder of songs that count as loaded")
     load.add_argument("--files-per-batch", type=int, default=1)
     for sub in (load, builds.choices["serving"]):
         sub.add_argument("--null-keys", choices=("error", "drop"), default="error", help="stop at rows without a key, or leave them out")
@@ -54,7 +55,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
         return build_serving(spark, args.csv, args.out, args.null_keys)
     star = StarLoad(spark, args.out, null_keys=args.null_keys)
     if args.star and not star.manifest.version():
-        star.seed(args.star, args.star_songs, args.star_logs)
+        star.seed(args.star, args.star_songs, args.star_logs, args.go_on)
     if args.songs:
         songs = read_lines(spark, args.songs, args.files_per_batch, whole=True)
         incremental.run_batches(songs, star.load_songs, f"{args.checkpoint}/songs").awaitTermination()

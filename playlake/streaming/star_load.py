@@ -140,17 +140,29 @@ class StarLoad:
         paths, rule = [*self._paths(table), *more], _RULES[table]
         return from_state(fold(self.spark.read.parquet(*paths), rule), rule) if paths else None
 
-    def seed(self, star: str, songs: str | None = None, logs: str | None = None) -> None:
-        """Go on from the star that was built at ``star`` of the files below ``songs`` and ``logs``: these count as loaded."""
+    def seed(self, star: str, songs: str | None = None, logs: str | None = None, plays: bool = True) -> None:
+        """Go on from the star that was built at ``star`` of the files below ``songs`` and ``logs``: these count as loaded. Without
+        ``plays`` only its songs and artists are taken."""
         place, version = self._begin()
         if version > 1:
             raise ValueError(f"{self.out} holds a load already; only an empty one can go on from a star")
-        staged_songs, staged_log = (self.spark.read.parquet(f"{star}/staging/{t}") for t in ("songs", "events"))
-        good = staged_log.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-        plays = conform(dims.plays(good, self.page), STAGING_EVENTS)
-        tables = self._song_tables(staged_songs.filter(F.col(CORRUPT_COLUMN).isNull()), place)
+        staged = {"rejected_songs": self.spark.read.parquet(f"{star}/staging/songs")}
+        tables = self._song_tables(staged["rejected_songs"].filter(F.col(CORRUPT_COLUMN).isNull()), place)
         catalog = facts.first_song(facts.song_catalog(self._folded("songs", tables["songs"][0]), self._folded("artists", tables["artists"][0])))
         first_songs = materialize(catalog, "catalog", f"{place}/catalog")
+        tables["catalog"] = (f"{place}/catalog", None)
+        if plays:
+            staged["rejected_events"] = self.spark.read.parquet(f"{star}/staging/events")
+            tables |= self._built_plays(star, staged["rejected_events"].filter(F.col(CORRUPT_COLUMN).isNull()), first_songs, place)
+        for name, rows in staged.items():
+            bad = rows.filter(F.col(CORRUPT_COLUMN).isNotNull())
+            bad.select(F.lit(None).cast("string").alias("file"), F.col(CORRUPT_COLUMN).alias("corrupt_record")).write.parquet(f"{place}/{name}")
+            tables[name] = (f"{place}/{name}", None)
+        self.manifest.commit(version, self._listed([path for path in (songs, logs) if path]), tables)
+
+    def _built_plays(self, star: str, log: DataFrame, first_songs: DataFrame, place: str) -> dict[str, tuple[str, int | None]]:
+        """Users, times and plays of a built star, made again from its staged log with the ids they have there."""
+        plays = conform(dims.plays(log.drop(CORRUPT_COLUMN), self.page), STAGING_EVENTS)
         self.spark.read.schema(STAR["time"]).parquet(f"{star}/time").write.parquet(f"{place}/time")
         # The order that the build numbers plays by.
         numbered = serial_ids(plays, ["ts", "sessionId", "itemInSession"], from_scan=True)
@@ -159,17 +171,11 @@ class StarLoad:
         built = self.spark.read.schema(STAR["songplays"]).parquet(f"{star}/songplays").agg(F.max("songplay_id")).first()[0] or 0
         if built != n_plays:
             raise ValueError(f"{star} has plays up to {built}, but {n_plays} are staged")
-        tables |= {
-            "catalog": (f"{place}/catalog", None),
+        return {
             "users": (self._state(user_rows(plays), "users", place), None),
             "time": (f"{place}/time", None),
             "songplays": (songplays, n_plays),
         }
-        for name, staged in (("rejected_songs", staged_songs), ("rejected_events", staged_log)):
-            bad = staged.filter(F.col(CORRUPT_COLUMN).isNotNull())
-            bad.select(F.lit(None).cast("string").alias("file"), F.col(CORRUPT_COLUMN).alias("corrupt_record")).write.parquet(f"{place}/{name}")
-            tables[name] = (f"{place}/{name}", None)
-        self.manifest.commit(version, self._listed([path for path in (songs, logs) if path]), tables)
 
     def _listed(self, paths: list[str]) -> DataFrame:
         """(file, size, modified) of the files below ``paths``; their content is not read."""

@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from playlake.__main__ import main
 from playlake.plans import build_star
 from playlake.streaming import incremental
 from playlake.streaming.manifest import Manifest
@@ -158,3 +159,14 @@ def test_null_keys(spark, out):
     star = StarLoad(spark, out + "/b", null_keys="drop")
     star.load_events(take(spark, out + "/logs"))
     assert star.tables()["users"].count() == 1 and star.tables()["songplays"].count() == 2
+
+
+def test_command_line_goes_on_from_a_star(spark, out, capsys):
+    write_lines(f"{out}/songs/1.json", [song()])
+    write_lines(f"{out}/old/0.json", [log(**r) for r in FILES[0]])
+    write_lines(f"{out}/logs/1.json", [log(**r) for r in FILES[2]])
+    main(["--no-report", "star", "--songs", out + "/songs", "--logs", out + "/old", "--out", out + "/built"])
+    load = ["load", "--star", out + "/built", "--go-on", "--logs", out + "/logs", "--out", out + "/live"]
+    main([*load, "--checkpoint", out + "/c1"])
+    main([*load, "--checkpoint", out + "/c2"])
+    assert capsys.readouterr().out.count("songplays: 4 rows") == 2
