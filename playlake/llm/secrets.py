@@ -5,12 +5,13 @@ guesses that each span needs: a word by its rank among the words of the corpus,
 sign and length, a keyboard walk by its start, turns and length, anything else by brute force over the signs of its class. A value that needs
 ``HARD`` or more is reported as kind ``guess``.
 
-Null and empty texts hold no spans. Spans are half-open and in code points; all kinds may overlap.
+Null and empty texts hold no spans. A very long value takes time in proportion to its length. Spans are half-open and in code points; all kinds may overlap.
 """
 
 import math
 import re
 from functools import partial
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -91,6 +92,7 @@ def guess_cost(value: str, ranks: dict[str, int], longest: int) -> float:
     for i in range(n - 3):
         if value[i].isdigit() and (found := _DATE.match(value, i)):
             dates.setdefault(i, []).append(found.end())
+    turned = [0, *accumulate(a != b for a, b in zip(value, value[1:]))]  # changes of sign up to each place
     best = [0.0] + [math.inf] * n
     for i in range(n):
         here = best[i]
@@ -110,7 +112,7 @@ def guess_cost(value: str, ranks: dict[str, int], longest: int) -> float:
             reach(end, math.log10(365 * 120) if end - i > 4 else math.log10(120))
         for ends, cost in ((repeats, _brute(value[i]) + 0.3), (walks, math.log10(len(_TOUCHING)) + 0.6), (climbs[0], 1.7), (climbs[1], 1.9)):
             for end in {i + 3, ends[i]} if ends[i] - i >= 3 else ():
-                turns = sum(value[k] != value[k - 1] for k in range(i + 1, end)) if ends is walks else 0
+                turns = turned[end - 1] - turned[i] if ends is walks else 0
                 reach(end, cost + math.log10(end - i) + 0.15 * turns)
     return best[n]
 

@@ -315,3 +315,15 @@ def test_word_ranks_are_exact_and_no_secret_becomes_a_word(spark):
     assert len(found) == 8
     for (spans,) in found:
         assert secret.index("qzx") in [s["start"] for s in spans if s["kind"] == "guess"]
+
+
+def test_guess_cost_of_a_very_long_walk():
+    import time
+
+    ranks = {"word": 5}
+    begin = time.process_time()
+    costs = [secrets.guess_cost("qw" * n, ranks, 4) for n in (100, 200_000)]
+    assert time.process_time() - begin < 60
+    assert costs[1] > costs[0] > 0
+    # A walk's turns count each, as in the sum over its signs.
+    assert secrets.guess_cost("qwq", ranks, 4) <= secrets.guess_cost("qwqw", ranks, 4)
