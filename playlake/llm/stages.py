@@ -13,8 +13,10 @@ from playlake.llm.queries import KEEP_FROM, quality_features, quality_rules
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose quality score is at least ``KEEP_FROM``. The rules are learned from labelled documents of ``docs``."""
-    rules = quality_rules(spark, quality_features(docs), sf_dir)
+    """The documents whose quality score is at least ``KEEP_FROM``. The rules are learned from labelled documents of ``docs``; only these are
+    measured twice."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled")).distinct()
+    rules = quality_rules(spark, quality_features(docs.join(labels, F.col("doc_id") == F.col("labelled"), "left_semi")), sf_dir)
     names = {name: unused(docs, f"_{name}") for name in rule_ensemble.NAMES}
     statistics = rule_ensemble.statistics(F.col("text"))
     measured = docs.select("*", *[statistics[name].alias(column) for name, column in names.items()])
