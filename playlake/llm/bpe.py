@@ -11,7 +11,7 @@ Null texts count as empty; the empty text has no ids. The ids of a text are pack
 
 import base64
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from struct import Struct
 
 import ahocorasick
@@ -207,6 +207,14 @@ class Codec:
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.parts.__getitem__, self.cut(text))) if text else b""
 
+    def forget(self) -> None:
+        """Empty all memories: the process may go on with other work."""
+        self.ranks.near.clear()
+        self.ranks.fits.clear()
+        for memory in (self.pieces, self.parts):
+            memory.clear()
+            memory.older = {}
+
     def decode(self, packed: bytes | None) -> bytes:
         ids = np.frombuffer(packed or b"", dtype="<u4").tolist()
         return b"".join(map(self.ranks.bytes_of.__getitem__, ids))
@@ -234,8 +242,11 @@ class BytePairs:
         sent = spark.sparkContext.broadcast(content)
 
         @F.pandas_udf(BinaryType())
-        def encode(texts: pd.Series) -> pd.Series:
-            return texts.map(_codec(sent.value, pattern).encode)
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            codec = _codec(sent.value, pattern)
+            for texts in batches:
+                yield texts.map(codec.encode)
+            codec.forget()
 
         @F.pandas_udf(BinaryType())
         def decode(packed: pd.Series) -> pd.Series:
