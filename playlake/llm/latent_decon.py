@@ -2,11 +2,18 @@
 
 Passages of the benchmark and windows of the documents become TF-IDF vectors, with document frequencies counted over all
 documents. A randomised singular value decomposition of the benchmark's passages, computed by Spark, gives a latent space in
-which the cosine of a window and a passage is taken. It ranks and is reported, but drops nothing: candidates are all items that
-can reach the shares below by the words that stand around a window, found by an inverted list of their rarest words. A candidate
-item leaks if its words stand in the window's surroundings in order: by their longest common subsequence, either most of the item,
-or a good part of it and its answer too. An item of more than a passage's words leaks as well if most of one passage stands there,
-however little of the item that is; ``share`` is of the whole item, around the first such passage.
+which the cosine of every window and every passage is taken. Candidates come from two sources, of which neither drops what the
+other finds:
+
+* Latent cosine, for paraphrases: the item of every passage that is at least ``NEAR`` to a window. It leaks if at least ``REWORDED``
+  of its words, by number and by weight, stand around the window, piece by piece (the items' halves, or more pieces of at most ``HALF`` words), each by its
+  longest common subsequence, so that pieces may change places; and, where its answer is looked for, as much of the answer too.
+* An inverted list of rare words, so that nothing verbatim depends on a cosine: all items that can reach the shares below by the
+  words that stand around a window. Such an item leaks if its words stand there in order: by their longest common subsequence,
+  either most of the item, or a good part of it and its answer too. An item of more than a passage's words leaks as well if most
+  of one passage stands there, however little of the item that is.
+
+``share`` is of the whole item in order, around the first such window; a paraphrase's may be low.
 
 The vocabulary is the benchmark's. A benchmark is collected in blocks of at most ``BLOCK_BYTES``; a larger one takes more passes.
 
@@ -32,6 +39,8 @@ HALF = 16
 DIMENSIONS, SKETCH, ROUNDS, SEED = 192, 208, 2, 42
 #: Least share of an item's words that leaks, alone and together with the answer's.
 LEAK, PART, ANSWER = 0.8, 0.65, 0.8
+#: Least cosine of a window and a passage, and least share of an item's words in its pieces, of a paraphrase.
+NEAR, REWORDED = 0.7, 0.5
 #: Rare words of an item that must stand near one another before anything is compared.
 HITS = 4
 LEAST_WORDS = 8
@@ -39,6 +48,8 @@ LEAST_WORDS = 8
 BLOCK_BYTES = 16 << 20
 #: Words of documents that are searched at once, and entries of the inverted list.
 _WORDS, _POSTINGS = 1 << 17, 1 << 21
+#: Half windows whose vectors are held at once, and passages they are compared with at once.
+_HALVES, _PASSAGES = 1 << 10, 1 << 13
 
 #: Signs beyond ASCII that part words, and all of ASCII but letters and digits.
 _SIGNS = re.compile("[\u0080-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u2000-\u206f\u3000-\u303f\uff00-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]+")
@@ -79,7 +90,8 @@ def common(item: list[int], region: list[int]) -> int:
 class Benchmark:
     """Items of one block as word ids from 1, their passages, and (later) weights and latent vectors."""
 
-    def __init__(self, items: list[tuple[int, str, str]]):
+    def __init__(self, items: list[tuple[int, str, str]], near: float = NEAR):
+        self.near = near
         self.vocabulary: dict[bytes, int] = {}
         self.items = []  # (item id, word ids, answer's word ids)
         self.short: list[int] = []  # those that are looked for word by word
@@ -109,7 +121,7 @@ class Benchmark:
     def index(self, seen: np.ndarray) -> None:
         """The inverted list. Of a unit of n words of which ``need`` must stand in order, any n - need + HITS words hold HITS that
         match; the rarest ones are listed, so a place without HITS of them within the unit's span cannot hold it."""
-        short = set(self.short)
+        short = self.in_one_piece = set(self.short)
         long = [(k, ids) for k, (_, ids, _) in enumerate(self.items) if k not in short]
         self.units = [(k, np.array(ids), math.ceil(PART * len(ids)), False) for k, ids in long]
         for k, ids in long:  # longer items also by each passage, the last one up to the item's end
@@ -205,9 +217,9 @@ def latent_space(spark: SparkSession, benchmark: Benchmark) -> np.ndarray:
     return basis @ vectors[:, best[values[best] > 1e-9]]
 
 
-def learn(df: DataFrame, text: Column, items: list[tuple[int, str, str]]) -> Benchmark:
+def learn(df: DataFrame, text: Column, items: list[tuple[int, str, str]], near: float = NEAR) -> Benchmark:
     spark = df.sparkSession
-    benchmark = Benchmark(items)
+    benchmark = Benchmark(items, near)
     if not benchmark.items:
         return benchmark
     size = len(benchmark.weights)
@@ -262,6 +274,7 @@ def _search(documents: list[tuple[int, np.ndarray]], benchmark: Benchmark, out:
     first = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(documents)), lengths)
     _search_short(documents, flat, first, owner, benchmark, out)
+    _search_near(documents, benchmark, out)
     reach = 2 * benchmark.longest + 2 * HALF
     postings = benchmark.begins[flat + 1] - benchmark.begins[flat]
     upto = np.cumsum(postings, dtype=np.int64)
@@ -317,6 +330,44 @@ def _search_short(documents, flat: np.ndarray, first: np.ndarray, owner: np.ndar
         at = end
 
 
+def _search_near(documents: list[tuple[int, np.ndarray]], benchmark: Benchmark, out: list[dict]) -> None:
+    """Add the items whose passages are near to a window and whose pieces stand around it."""
+    for k, ids in documents:
+        for at in range(0, max(1, (len(ids) - 1) // HALF), _HALVES):
+            # One half more than windows begin here, as a window takes the half behind it too.
+            part = ids[at * HALF : (at + _HALVES + 1) * HALF]
+            halves = np.add.reduceat(benchmark.embedding[part], np.arange(0, len(part), HALF), axis=0)
+            windows = halves[:-1] + halves[1:] if len(halves) > 1 else halves
+            windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
+            for p in range(0, len(benchmark.targets), _PASSAGES):
+                window, passage = np.nonzero(windows @ benchmark.targets[p : p + _PASSAGES].T >= benchmark.near)
+                for h, q in zip(window.tolist(), passage.tolist()):
+                    item = benchmark.passages[p + q][0]
+                    if item not in out[k] and item not in benchmark.in_one_piece:
+                        _reworded(k, ids, at + h, item, benchmark, out)
+
+
+def _reworded(k: int, ids: np.ndarray, h: int, item: int, benchmark: Benchmark, out: list[dict]) -> None:
+    """Whether the pieces of an item stand around a window, in any order of the pieces."""
+    _, wanted, answer = benchmark.items[item]
+    n = len(wanted)
+    region = ids[max(0, h * HALF - n) : h * HALF + 2 * HALF + n]
+    benchmark.present[region] = True
+    weights = benchmark.weights[wanted]
+    weight = weights[benchmark.present[wanted]].sum()
+    benchmark.present[region] = False
+    if weight < REWORDED * weights.sum():
+        return
+    held = region.tolist()
+    pieces = max(2, math.ceil(n / HALF))
+    bounds = [n * i // pieces for i in range(pieces + 1)]
+    if sum(common(wanted[a:b], held) for a, b in zip(bounds, bounds[1:])) < REWORDED * n:
+        return
+    if len(answer) >= 3 and common(answer, held) < REWORDED * len(answer):
+        return
+    _add(k, ids, h, item, common(wanted, held) / n, region, True, benchmark, out)
+
+
 def _bound(wanted: np.ndarray, stretch: np.ndarray, present: np.ndarray) -> int:
     """Words of ``wanted`` that ``stretch`` holds in any order."""
     present[stretch] = True
@@ -361,9 +412,18 @@ def _add(k: int, ids: np.ndarray, h: int, item: int, share: float, region: np.nd
 
 
 class Decontaminator:
-    """Leaks of a benchmark in the texts of ``df``, whose document frequencies it takes."""
-
-    def __init__(self, df: DataFrame, text: Column, benchmark: DataFrame, item_id: str = "item_id", item: str = "text", answer: str | None = None):
+    """Leaks of a benchmark in the texts of ``df``, whose document frequencies it takes. ``near`` is the least cosine of a paraphrase."""
+
+    def __init__(
+        self,
+        df: DataFrame,
+        text: Column,
+        benchmark: DataFrame,
+        item_id: str = "item_id",
+        item: str = "text",
+        answer: str | None = None,
+        near: float = NEAR,
+    ):
         spark = df.sparkSession
         known = benchmark.filter(F.col(item).isNotNull() & F.col(item_id).isNotNull())
         total = known.agg(F.sum(F.octet_length(item))).first()[0] or 0
@@ -373,7 +433,7 @@ class Decontaminator:
             block = known.filter(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b)
             rows = block.select(F.col(item_id).cast("long"), item, F.col(answer) if answer else F.lit(None)).distinct().collect()
             items = sorted((i, t, a if a is not None else answer_of(t)) for i, t, a in rows)
-            self.sent.append(spark.sparkContext.broadcast(learn(df, text, items)))
+            self.sent.append(spark.sparkContext.broadcast(learn(df, text, items, near)))
 
     def leaks(self, text: Column) -> Column:
         """(item_id, cosine, share, answer_share) of every item that leaks into ``text``."""

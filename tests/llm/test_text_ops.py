@@ -271,6 +271,45 @@ def test_a_passage_of_a_long_item_leaks(spark):
     assert all(0.33 <= x["share"] < 0.5 and x["cosine"] > 0.5 for _, x in got)
 
 
+def test_paraphrases(spark):
+    dice = random.Random(10)
+    known = invented(dice, 2500)
+    often = invented(dice, 60)
+
+    def prose(n):
+        return [dice.choice(often) if dice.random() < 0.4 else dice.choice(known) for _ in range(n)]
+
+    items = [(i, prose(dice.randint(20, 60))) for i in range(120)]
+
+    def changed(words, share):
+        return [dice.choice(known) if dice.random() < share else w for w in words]
+
+    kinds = {
+        "a tenth": lambda words: changed(words, 0.1),
+        "a fifth": lambda words: changed(words, 0.2),
+        "three tenths": lambda words: changed(words, 0.3),
+        "halves swapped": lambda words: words[len(words) // 2 :] + words[: len(words) // 2],
+    }
+    docs, truth = [], {}
+    for kind, change in kinds.items():
+        for i, words in items:
+            truth[len(docs)] = kind, i
+            docs.append((len(docs), " ".join([*prose(dice.randint(0, 120)), *change(words), *prose(60)])))
+    docs += [(10_000 + i, " ".join(prose(150))) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    known_items = spark.createDataFrame([(i, " ".join(words)) for i, words in items], "item_id long, text string")
+
+    def found(near):
+        finder = latent_decon.Decontaminator(df, F.col("text"), known_items, near=near)
+        return {(r[0], x["item_id"]) for r in df.select("doc_id", finder.leaks(F.col("text"))).collect() for x in r[1]}
+
+    both, exact = found(latent_decon.NEAR), found(2.0)
+    assert exact <= both and len(both) > 1.3 * len(exact)
+    assert all(k < 10_000 and truth[k][1] == i for k, i in both)
+    hits = Counter(truth[k][0] for k, _ in both)
+    assert all(hits[kind] >= 0.9 * len(items) for kind in kinds), hits
+
+
 def test_short_items_and_scripts_without_spaces(spark):
     dice = random.Random(8)
     han = "".join(map(chr, range(0x4E00, 0x4F80)))
