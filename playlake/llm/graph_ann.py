@@ -9,8 +9,10 @@ ranked by their exact score.
 Inner products become distances by one more coordinate that brings all vectors to one length; queries have zero there.
 
 Copies of a vector are one node and are expanded after the search, so a group of copies costs nothing and no copy is lost.
-Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do rows with a null id.
-Of rows with one id the least vector counts. With fewer candidates than asked for, all of them are returned. Ties go to the smaller id.
+Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows with a null id. Vectors of different lengths have no inner
+product: each length has shards of its own, and only vectors of the query's length are its candidates. Rows with one id are rows of their own, as queries
+and as candidates. With fewer candidates than asked for, all of them are returned. Ties go to the smaller id. Further columns do not
+matter, whatever their names; an empty table gives no rows.
 """
 
 import math
@@ -19,8 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from playlake.llm.common import quoted
 from playlake.operators.joins import skew_join
-from playlake.storage import materialize
+from playlake.storage import materialize, with_place
 
 #: Vectors in a shard, on average, and queries in a block.
 SHARD, QUERIES = 8192, 4096
@@ -129,16 +132,19 @@ class Graph:
             self.out[part] = self._prune(part, np.concatenate((self.out[part], into), axis=1), alpha)
 
 
-def _graph_of_shard(pdf: pd.DataFrame, longest2: float) -> pd.DataFrame:
+def _graph_of_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("rep")
+    longest2 = pdf["longest2"].iloc[0]
     points = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
     rest = np.sqrt(np.maximum(longest2 - (points**2).sum(axis=1), 0))
     lifted = np.concatenate((points, rest[:, None]), axis=1).astype(np.float32)
     out = Graph(lifted).out
     return pd.DataFrame(
         {
+            "n": [int(pdf["n"].iloc[0])],
             "shard": [int(pdf["shard"].iloc[0])],
             "reps": [pdf["rep"].to_numpy(dtype="<i8").tobytes()],
+            "ids": [pdf["vec_id"].to_numpy(dtype="<i8").tobytes()],
             "points": [points.astype("<f8").tobytes()],
             "rest": [rest.astype("<f8").tobytes()],
             "edges": [out.astype("<i4").tobytes()],
@@ -147,11 +153,11 @@ def _graph_of_shard(pdf: pd.DataFrame, longest2: float) -> pd.DataFrame:
 
 
 def _ask(index: pd.DataFrame, queries: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
-    columns = ["query_id", "rep", "score"]
+    columns = ["query", "query_id", "rep", "first", "score"]
     if not len(index) or not len(queries):
         return pd.DataFrame(columns=columns)
     shard = index.iloc[0]
-    reps = np.frombuffer(shard["reps"], "<i8")
+    reps, ids = np.frombuffer(shard["reps"], "<i8"), np.frombuffer(shard["ids"], "<i8")
     points = np.frombuffer(shard["points"], "<f8").reshape(len(reps), -1)
     lifted = np.concatenate((points, np.frombuffer(shard["rest"], "<f8")[:, None]), axis=1).astype(np.float32)
     graph = Graph(lifted, np.frombuffer(shard["edges"], "<i4").reshape(len(reps), EDGES))
@@ -163,8 +169,10 @@ def _ask(index: pd.DataFrame, queries: pd.DataFrame, k: int, width: int) -> pd.D
         line, column = np.nonzero(found >= 0)
         nodes = found[line, column]
         score = (asked[line] * points[nodes]).sum(axis=1)
-        result = pd.DataFrame({"query_id": part["vec_id"].to_numpy()[line], "rep": reps[nodes], "score": score})
-        parts.append(result.sort_values(["query_id", "score", "rep"], ascending=[True, False, True]).groupby("query_id").head(k))
+        query, query_id = part["row"].to_numpy()[line], part["vec_id"].to_numpy()[line]
+        result = pd.DataFrame({"query": query, "query_id": query_id, "rep": reps[nodes], "first": ids[nodes], "score": score})
+        order = {"query": True, "score": False, "first": True, "rep": True}
+        parts.append(result.sort_values(list(order), ascending=list(order.values())).groupby("query").head(k))
     return pd.concat(parts, ignore_index=True)[columns]
 
 
@@ -173,54 +181,65 @@ def _first(df: DataFrame, by: str, order: list, k: int, name: str = "rank") -> D
     return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order))).filter(F.col(name) <= k)
 
 
-def usable(df: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, vector) of the rows that take part."""
-    bad = F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = df.filter(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull() & ~bad & F.exists(F.col(embedding), lambda x: x != 0)).select(
-        F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector")
-    )
-    lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    n = lengths["n"] if lengths else 0
-    return rows.filter(F.size("vector") == n).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+def usable(df: DataFrame, vec_id: str, embedding: str, from_scan: bool = False) -> DataFrame:
+    """(row, vec_id, vector, n) of the rows that take part: a number for each row, and the length of its vector."""
+    named = df.select(F.col(quoted(vec_id)).cast("long").alias("vec_id"), F.col(quoted(embedding)).alias("vector"))
+    bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    good = F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~bad & F.exists("vector", lambda x: x != 0)
+    return with_place(named, "row", from_scan).filter(good).withColumn("n", F.size("vector"))
 
 
 def build(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
-    """The index: one row for each shard, with its vectors and edges packed. ``vectors`` has (rep, vector), all different."""
+    """The index: one row for each shard of each length, with its vectors and edges packed. ``vectors`` has (rep, vec_id, vector, n), all
+    vectors different."""
     length2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    known = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(length2).alias("longest2")).first()
-    shards = max(1, math.ceil(known["n"] / shard))
-    longest2 = known["longest2"] or 0.0
-    dealt = vectors.select("rep", "vector", F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int").alias("shard"))
-    schema = "shard int, reps binary, points binary, rest binary, edges binary"
-    graphs = dealt.groupBy("shard").applyInPandas(lambda pdf: _graph_of_shard(pdf, longest2), schema)
+    per = vectors.groupBy(F.col("n").alias("of")).agg(F.ceil(F.count(F.lit(1)) / shard).alias("shards"), F.max(length2).alias("longest2"))
+    per = materialize(per, "lengths")
+    shards = per.agg(F.sum("shards")).first()[0] or 1
+    known = skew_join(vectors, per, {"n": "of"}, "inner")
+    dealt = known.select("rep", "vec_id", "vector", "n", "longest2", F.pmod(F.xxhash64("rep"), "shards").cast("int").alias("shard"))
+    schema = "n int, shard int, reps binary, ids binary, points binary, rest binary, edges binary"
+    # A given number of partitions is not merged to fewer for being small: a graph takes long to build, however few its bytes.
+    graphs = dealt.repartition(shards, "n", "shard").groupBy("n", "shard").applyInPandas(_graph_of_shard, schema)
     return materialize(graphs, "graphs")
 
 
 def nearest(
-    df: DataFrame, queries: Column, vec_id: str = "vec_id", embedding: str = "embedding", k: int = 20, width: int = SEARCH_BEAM
+    df: DataFrame,
+    queries: Column,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    k: int = 20,
+    width: int = SEARCH_BEAM,
+    from_scan: bool = False,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found for each row that ``queries`` (a condition on ``vec_id``) selects."""
-    rows = materialize(usable(df, vec_id, embedding), "vectors")
-    ranked = _first(rows, "vector", [F.col("vec_id")], k + 1)  # one of them may be the query itself
-    first = F.min("vec_id").over(Window.partitionBy("vector"))
-    members = materialize(ranked.select("vec_id", "vector", first.alias("rep")), "copies")
-    index = build(members.filter("vec_id = rep").select("rep", "vector"))
+    """(query_id, rank, vec_id, score): the ``k`` nearest found for each row that ``queries`` (a condition on ``vec_id``) selects.
+    ``from_scan`` says that ``df`` is a scan of files."""
+    rows = materialize(usable(df, vec_id, embedding, from_scan), "vectors")
+    ranked = _first(rows, "vector", [F.col("vec_id"), F.col("row")], k + 1)  # one of them may be the query itself
+    first = F.min(F.struct("vec_id", "row")).over(Window.partitionBy("vector"))["row"]
+    members = materialize(ranked.select("row", "vec_id", "vector", "n", first.alias("rep")), "copies")
+    index = build(members.filter("row = rep").select("rep", "vec_id", "vector", "n"))
 
     asked = rows.filter(queries)
-    blocks = max(1, math.ceil(asked.count() / QUERIES))
-    dealt = asked.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
-    n_shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
-    copies = index.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    blocks = asked.groupBy("n").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("blocks"))
+    per = materialize(index.groupBy(F.col("n").alias("of")).agg(F.count(F.lit(1)).alias("shards")).join(blocks, F.col("of") == F.col("n")).drop("n"), "plan")
+    tasks = per.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
+    dealt = skew_join(asked, per, {"n": "of"}, "inner").select("row", "vec_id", "vector", "n", "shards", F.pmod(F.xxhash64("row"), "blocks").cast("int").alias("block"))
+    dealt = dealt.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards").cast("int") - 1)))
+    copies = index.join(per, F.col("n") == F.col("of")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    copies = copies.drop("of", "shards", "blocks")
+    keys = ("n", "shard", "block")
     found = (
-        copies.groupBy("shard", "block")
-        .cogroup(dealt.groupBy("shard", "block"))
-        .applyInPandas(lambda a, b: _ask(a, b, k + 1, width), "query_id long, rep long, score double")
+        copies.repartition(tasks, *keys)
+        .groupBy(*keys)
+        .cogroup(dealt.repartition(tasks, *keys).groupBy(*keys))
+        .applyInPandas(lambda a, b: _ask(a, b, k + 1, width), "query long, query_id long, rep long, first long, score double")
     )
-    best = _first(found, "query_id", [F.desc("score"), F.col("rep")], k + 1).select("query_id", "score", "rep")
-    names = members.select(F.col("rep").alias("of"), "vec_id")
-    expanded = skew_join(best, names, {"rep": "of"}, "inner").filter("vec_id <> query_id")
-    return _first(expanded, "query_id", [F.desc("score"), F.col("vec_id")], k).select("query_id", "rank", "vec_id", "score")
+    best = _first(found, "query", [F.desc("score"), F.col("first"), F.col("rep")], k + 1).select("query", "query_id", "score", "rep")
+    names = members.select(F.col("rep").alias("of"), "vec_id", "row")
+    expanded = skew_join(best, names, {"rep": "of"}, "inner").filter("row <> query")
+    return _first(expanded, "query", [F.desc("score"), F.col("vec_id"), F.col("row")], k).select("query_id", "rank", "vec_id", "score")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> float:

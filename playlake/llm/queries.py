@@ -102,7 +102,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector."""
-    return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+    return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, from_scan=True)
 
 
 #: Documents scored at least this much are predicted to have label 1.

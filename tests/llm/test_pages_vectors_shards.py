@@ -170,7 +170,7 @@ def test_neighbours_against_all_vectors(spark):
 def test_neighbours_in_small_shards_with_copies_and_odd_rows(spark):
     dice = np.random.default_rng(2)
     rows = [(i, dice.standard_normal(8).tolist()) for i in range(300)] + [(i, [0.5] * 8) for i in range(300, 420)]
-    rows += [(500, None), (501, [0.0] * 8), (502, [float("nan")] * 8), (503, [None] * 8), (None, [1.0] * 8), (504, [1.0]), (505, [float("inf")] * 8), (0, rows[0][1])]
+    rows += [(500, None), (501, [0.0] * 8), (502, [float("nan")] * 8), (503, [None] * 8), (None, [1.0] * 8), (504, [1.0]), (505, [float("inf")] * 8)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {}
     for r in graph_ann.nearest(df, F.col("vec_id") % 20 == 0, k=20).collect():
@@ -185,6 +185,20 @@ def test_neighbours_in_small_shards_with_copies_and_odd_rows(spark):
     assert [r["vec_id"] for r in sorted(few, key=lambda r: r["rank"])] and len(few) == 2
 
 
+def test_neighbours_of_two_lengths_and_of_repeated_ids(spark):
+    dice = np.random.default_rng(4)
+    rows = [(i, dice.standard_normal(6).tolist()) for i in range(150)] + [(i, dice.standard_normal(3).tolist()) for i in range(150, 180)]
+    rows += [(i, dice.standard_normal(6).tolist()) for i in (0, 20, 20, 33)] + [(40, rows[40][1]), (7, [2.0]), (60, [3.0, 4.0])]
+    df = spark.createDataFrame([(v, "x", i) for i, v in rows], "embedding array<double>, `row` string, vec_id long").repartition(3)
+    got = Counter(tuple(r) for r in graph_ann.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect())
+    want = Counter()
+    for a, (i, v) in enumerate(rows):
+        if i % 20 == 0:
+            others = [(-math.fsum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(rows) if b != a and len(w) == len(v)]
+            want.update((i, rank, j, round(-s, 9)) for rank, (s, j) in enumerate(sorted(others)[:5], 1))
+    assert Counter((i, rank, j, round(s, 9)) for i, rank, j, s in got.elements()) == want
+
+
 def test_shards(spark):
     rows = QUERIES["op10_shuffle_shards"](spark, SMALL).collect()
     docs = {r[0]: r[1] or "" for r in small("documents")}
