@@ -27,10 +27,12 @@ from playlake.storage import materialize, with_place
 
 #: Vectors in a shard, on average, and queries in a block.
 SHARD, QUERIES = 8192, 4096
-#: Edges of a node, beam widths while building and searching, and the factors of the two building passes.
-EDGES, BUILD_BEAM, SEARCH_BEAM = 40, 64, 128
+#: Edges of a node, further ones it may gather while building before it is pruned again, beam widths while building and searching, and the factors of the two building passes.
+EDGES, SLACK, BUILD_BEAM, SEARCH_BEAM = 40, 8, 64, 128
 ALPHAS = (1.0, 1.2)
 _BATCH = 512
+#: Queries and nodes that are searched for and pruned at once: few enough for a processor's cache.
+_CACHED = 128
 
 
 class Graph:
@@ -45,7 +47,7 @@ class Graph:
             return
         random = np.random.default_rng(seed)
         n = len(points)
-        self.out = np.full((n, EDGES), -1, dtype=np.int32)
+        self.out = np.full((n, EDGES + SLACK), -1, dtype=np.int32)
         if n > 1:
             first = random.integers(0, n - 1, size=(n, min(EDGES, n - 1)))
             self.out[:, : first.shape[1]] = first + (first >= np.arange(n)[:, None])  # never the node itself
@@ -53,9 +55,18 @@ class Graph:
             order = random.permutation(n)
             for at in range(0, n, _BATCH):
                 self._insert(order[at : at + _BATCH], alpha)
+        for at in range(0, n, _BATCH):
+            part = np.arange(at, min(at + _BATCH, n))
+            part = part[(self.out[part, EDGES:] >= 0).any(axis=1)]
+            self._link(part, self.out[part], ALPHAS[-1])
+        self.out = np.ascontiguousarray(self.out[:, :EDGES])
 
     def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` best nodes that a beam search finds for each query, and their inner products; -1 where there are fewer."""
+        parts = [self._search(queries[at : at + _CACHED], width) for at in range(0, max(1, len(queries)), _CACHED)]
+        return np.concatenate([beam for beam, _ in parts]), np.concatenate([score for _, score in parts])
+
+    def _search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.points)
         beam = np.full((len(queries), width), -1, dtype=np.int64)
         score = np.full((len(queries), width), -np.inf, dtype=np.float32)
@@ -114,22 +125,39 @@ class Graph:
             apart[row, best] = np.inf
         return kept
 
+    def _link(self, nodes: np.ndarray, candidates: np.ndarray, alpha: float) -> None:
+        """Give each node the diverse ones of its candidates as neighbours, and room for ``SLACK`` more."""
+        for at in range(0, len(nodes), _CACHED):
+            part = nodes[at : at + _CACHED]
+            self.out[part, :EDGES] = self._prune(part, candidates[at : at + _CACHED], alpha)
+            self.out[part, EDGES:] = -1
+
     def _insert(self, nodes: np.ndarray, alpha: float) -> None:
         found, _ = self.search(self.points[nodes], BUILD_BEAM)
-        self.out[nodes] = self._prune(nodes, np.concatenate((found, self.out[nodes]), axis=1), alpha)
-        targets = self.out[nodes]
+        self._link(nodes, np.concatenate((found, self.out[nodes]), axis=1), alpha)
+        targets = self.out[nodes, :EDGES]
         source, target = np.repeat(nodes, EDGES), targets.ravel()
         source, target = source[target >= 0], target[target >= 0]
+        fresh = ~(self.out[target] == source[:, None]).any(axis=1)
+        source, target = source[fresh], target[fresh]
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         back, start, count = np.unique(target, return_index=True, return_counts=True)
+        # Lists with room take the edges back as they are, and only those that overflow are pruned: a few times for each node, however
+        # many nodes there are. Room is behind the neighbours.
+        have = (self.out[back] >= 0).sum(axis=1)
+        room = have + count <= EDGES + SLACK
+        of = np.repeat(np.arange(len(back)), count)
+        column = have[of] + np.arange(len(of)) - start[of]
+        self.out[target[room[of]], column[room[of]]] = source[room[of]]
+        back, start, count = back[~room], start[~room], count[~room]
         for at in range(0, len(back), _BATCH):
             part, begin, many = back[at : at + _BATCH], start[at : at + _BATCH], count[at : at + _BATCH]
             into = np.full((len(part), int(many.max())), -1, dtype=np.int64)
             line = np.repeat(np.arange(len(part)), many)
             column = np.arange(len(line)) - np.repeat(np.cumsum(many) - many, many)
             into[line, column] = source[begin[line] + column]
-            self.out[part] = self._prune(part, np.concatenate((self.out[part], into), axis=1), alpha)
+            self._link(part, np.concatenate((self.out[part], into), axis=1), alpha)
 
 
 def _graph_of_shard(pdf: pd.DataFrame) -> pd.DataFrame:
