@@ -1,5 +1,7 @@
 """Row ids."""
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import MapType
 
@@ -71,8 +73,7 @@ def arrival_ids(stored: DataFrame, name: str = "songplay_id", start: int = 1) ->
     columns = stored.columns
     file = F.col("_metadata.file_path").alias("_file")
     sizes = stored.groupBy(file).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    offsets = sums_before(sizes, "_file", "_size", "_offset").drop("_size")
     placed = stored.select(*columns, file, F.col("_metadata.row_index").alias("_row"))
     # One row per file: Spark broadcasts it unless the files are very many.
     return placed.join(offsets, "_file").select(
@@ -80,6 +81,23 @@ def arrival_ids(stored: DataFrame, name: str = "songplay_id", start: int = 1) ->
     )
 
 
+def sums_before(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Add to each row the sum of ``value`` over the rows with a smaller ``key``. Keys are unique, ``value`` is a whole number.
+
+    Two levels: rows are range-partitioned by ``key`` and summed within each partition, in parallel; the totals of the partitions, one
+    number for each, give every partition its start. No task sees all rows.
+    """
+    columns = rows.columns
+    ranged = rows.repartitionByRange(key).sortWithinPartitions(key).select(*columns, F.monotonically_increasing_id().alias("_slot"))
+    # Range bounds are sampled anew by each run of the plan: keep one run's partitions.
+    stored = materialize(ranged.withColumn("_range", F.shiftright("_slot", _POSITION_BITS)), "sums")
+    totals = {r["_range"]: r["_total"] for r in stored.groupBy("_range").agg(F.sum(value).alias("_total")).collect()}
+    starts = list(accumulate((totals.get(i, 0) for i in range(max(totals, default=0))), initial=0))
+    start = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")[F.col("_range").cast("int")]
+    inside = Window.partitionBy("_range").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    return stored.select(*columns, (start + F.coalesce(F.sum(value).over(inside), F.lit(0))).alias(name))
+
+
 def identity_ids(df: DataFrame, name: str = "songplay_id") -> DataFrame:
     """Distinct rows, numbered from 1 in the order of all their columns."""
     return serial_ids(df.distinct(), df.columns, name, unique=True)

@@ -1,5 +1,6 @@
 """Sinks and table definitions."""
 
+from playlake.sinks.file_table import FileTable
 from playlake.sinks.files import append_text, count_lines, write_csv_quoted, write_parquet
 from playlake.sinks.tables import (
     append_rows,
@@ -12,6 +13,7 @@ from playlake.sinks.tables import (
 )
 
 __all__ = [
+    "FileTable",
     "append_rows",
     "append_text",
     "arrange",

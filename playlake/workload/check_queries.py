@@ -158,6 +158,23 @@ def delete_by_keys_mixed_types(spark, sf_dir):
     return statements.delete_by_keys(kept, returned, ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    "delete_touched_files",
+    "SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem d WHERE"
+    " d.l_returnflag = 'R' AND d.l_shipdate < (SELECT max(l_shipdate) - INTERVAL 4 YEAR FROM lineitem) AND d.l_shipdate = l.l_shipdate"
+    " AND d.l_orderkey = l.l_orderkey AND d.l_linenumber = l.l_linenumber)",
+)
+def delete_touched_files(spark, sf_dir):
+    """Lines in files by ship date, without the returned ones that were shipped over four years before the last: later files stay."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag")
+    stored = sinks.FileTable.create(lines.drop("l_returnflag"), fresh_path(spark, "lines"), ["l_shipdate"])
+    last = lines.agg(F.max("l_shipdate").alias("_last"))
+    old = F.col("l_shipdate") < F.col("_last") - F.expr("INTERVAL 4 YEAR")
+    gone = lines.filter("l_returnflag = 'R'").join(F.broadcast(last), old, "left_semi")
+    stored.delete(gone, ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return stored.rows()
+
+
 @query(
     "lookup_param",
     WITH + "SELECT song_id, artist_id FROM songs WHERE artist_name = 'Brand#7' AND year = 0 AND num_songs = 1",
