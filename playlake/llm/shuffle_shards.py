@@ -11,9 +11,10 @@ Columns of any name are carried along.
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from playlake.llm.common import quoted
+from playlake.operators.ids import sums_before
 from playlake.storage import fresh_path
 
 #: Bytes of text that one bucket holds on average.
@@ -46,8 +47,7 @@ def shards(df: DataFrame, n_shards: int, seed: int = 42, size=None, bucket_bytes
     n_buckets = max(1, math.ceil(total / bucket_bytes))
     stored = shuffled_buckets(df, n_buckets, seed, path or fresh_path(spark, "buckets"))
     counts = stored.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
-    offsets = counts.select(F.col("bucket").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = sums_before(counts, "bucket", "n", "offset").select(F.col("bucket").alias("of"), "offset")
     rows = stored.agg(F.count(F.lit(1))).first()[0]
     n, total_rows = F.lit(n_shards).cast("long"), F.lit(rows).cast("long")
     position = F.col("offset") + F.col("at")
