@@ -1,10 +1,13 @@
 """Constraint checks, statements, lookups, profiles, samples."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from playlake import sinks
 from playlake.operators import profile, quality, statements
-from playlake.storage import fresh_path
+from playlake.operators.key_log import KeyLog
+from playlake.storage import fresh_path, materialize
 from playlake.workload.analogues import WITH, staged_log, staged_songs, table
 from playlake.workload.registry import query
 
@@ -25,6 +28,44 @@ def check_pk_null(spark, sf_dir):
     return quality.duplicate_keys(staged_log(spark, sf_dir), ["userId"])
 
 
+@query(
+    "check_pk_incremental",
+    "WITH n AS (SELECT year(l_shipdate) AS load, l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL),"
+    " b AS (SELECT *, CAST(coalesce(sum(n_rows) OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY load"
+    " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS n_before FROM n)"
+    " SELECT * FROM b WHERE n_rows + n_before > 1",
+)
+def check_pk_incremental(spark, sf_dir):
+    """Line items loaded year by year, each year held against the bitmaps of those before."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("load"))
+    lines = materialize(lines, "loads")
+    keys = ["l_orderkey", "l_linenumber"]
+    log = KeyLog(spark, fresh_path(spark, "keys"), lines.schema, keys, expected=lines.count())
+    years = lines.agg(F.min("load"), F.max("load")).first()
+    found = [log.take(lines.filter(F.col("load") == y), y).withColumn("load", F.lit(y)) for y in range(years[0], years[1] + 1)]
+    return reduce(DataFrame.union, found)
+
+
+@query(
+    "check_fk_incremental",
+    "SELECT r AS after_region, o_custkey, count(*) AS n_rows FROM (SELECT DISTINCT n_regionkey AS r FROM nation), orders"
+    " WHERE NOT EXISTS (SELECT 1 FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    " WHERE n_regionkey <= r AND c_custkey = o_custkey) GROUP BY ALL",
+)
+def check_fk_incremental(spark, sf_dir):
+    """Orders whose customer is not there yet, while customers are loaded region by region."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    customer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = table(spark, sf_dir, "orders")
+    log = KeyLog(spark, fresh_path(spark, "keys"), customer.schema, ["c_custkey"])
+    found = []
+    for region in sorted(r[0] for r in nation.select("n_regionkey").distinct().collect()):
+        log.take(customer.filter(F.col("n_regionkey") == region), region)
+        # Later loads must not change what was missing now.
+        found.append(materialize(log.missing(orders, "o_custkey"), "missing").withColumn("after_region", F.lit(region)))
+    return reduce(DataFrame.union, found)
+
+
 @query("check_not_null", WITH + "SELECT ts, page, 'userId is null' AS broken FROM ev WHERE \"userId\" IS NULL")
 def check_not_null(spark, sf_dir):
     rows = quality.broken_rows(staged_log(spark, sf_dir), quality.Rules(required=("userId", "page", "ts")))
