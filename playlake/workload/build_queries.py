@@ -16,7 +16,7 @@ from playlake.workload.file_queries import (
     write_multiline_csv,
     write_songs,
 )
-from playlake.workload.registry import query
+from playlake.workload.registry import ORACLES, query
 from playlake.workload.star_queries import BOTH, LOOKUP, MATCHED, MILLI, SECOND, YEAR_MONTH
 
 
@@ -185,3 +185,36 @@ def serving_build(spark, sf_dir):
 def serving_multiline(spark, sf_dir):
     """The table by session and item, built of one CSV file whose quoted fields hold line breaks."""
     return build_serving(spark, write_multiline_csv(spark, sf_dir), fresh_path(spark, "serving"))["session_item"]
+
+
+def _serving(spark, sf_dir):
+    return build_serving(spark, write_csvs(spark, sf_dir), fresh_path(spark, "serving"))
+
+
+def _register_table(name: str, build, table_name: str, sql: str) -> None:
+    """A query that returns the rows of one table of a build."""
+
+    @query(name, sql)
+    def rows(spark, sf_dir):
+        return build(spark, sf_dir)[table_name]
+
+
+for _table, _sql in {
+    "songs": WITH + SONG_TUPLES,
+    "artist": WITH + ARTIST_TUPLES,
+    "users": WITH + USER_TUPLES.replace('"userId"', 'CAST("userId" AS VARCHAR) AS "userId"'),
+    "time_table": ORACLES["time_lake"],
+}.items():
+    _register_table(f"lake_rows_{_table}", _lake, _table, _sql)
+
+for _table, _like in {"users": "users_distinct", "songs": "songs_distinct", "artists": "artists_distinct", "time": "time_warehouse"}.items():
+    _register_table(f"warehouse_rows_{_table}", _warehouse, _table, ORACLES[_like])
+
+for _table, _like in {"users": "users_upsert", "songs": "songs_distinct", "artists": "artists_upsert", "time": "time_star"}.items():
+    _register_table(f"star_rows_{_table}", _star, _table, ORACLES[_like])
+
+#: The CSV files hold quotes and a comma in the names of some artists.
+_QUOTED = "SELECT * REPLACE (replace(artist, '(live)', '\"live\", at home') AS artist) FROM ({})"
+
+for _table, _form in {"session_item": _QUOTED, "user_session": _QUOTED, "song_users": "{}"}.items():
+    _register_table(f"serving_rows_{_table}", _serving, _table, _form.format(ORACLES[f"serve_{_table}"]))

@@ -167,6 +167,16 @@ def delete_script_quoted(spark, sf_dir):
     return statements.delete_statements(table(spark, sf_dir, "pages"), "t", {"url": "url"})
 
 
+@query(
+    "delete_script_escaped",
+    "SELECT concat('DELETE FROM t WHERE name=''', replace(replace(p_name, ' ', ''''), '''', ''''''), ''';') AS statement FROM part",
+)
+def delete_script_escaped(spark, sf_dir):
+    """Names with a quote in place of each space: unescaped, the statements would end early."""
+    parts = table(spark, sf_dir, "part").select(F.replace("p_name", F.lit(" "), F.lit("'")).alias("p_name"))
+    return statements.delete_statements(parts, "t", {"p_name": "name"})
+
+
 @query(
     "delete_by_keys",
     "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem d WHERE"

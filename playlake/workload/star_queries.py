@@ -380,3 +380,13 @@ def _serve(name: str):
 
 for _name in serving.TABLES:
     query(f"serve_{_name}", serve_sql(_name))(_serve(_name))
+
+
+@query(
+    "identity_repeated",
+    "SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS line_id, l_orderkey, l_linenumber"
+    " FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)",
+)
+def identity_repeated(spark, sf_dir):
+    """Keys that the table holds several times get one id each."""
+    return ids.identity_ids(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), "line_id")
