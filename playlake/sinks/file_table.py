@@ -25,12 +25,15 @@ class FileTable:
         self.spark, self.path, self._log = spark, path, f"{path}/log"
 
     @classmethod
-    def create(cls, df: DataFrame, path: str, layout: list[str]) -> "FileTable":
-        """Write ``df`` in files by ranges of the columns ``layout``. The bounds of the first of them are kept for each file."""
+    def create(cls, df: DataFrame, path: str, layout: list[str], partitions: int | None = None) -> "FileTable":
+        """Write ``df`` in files by ranges of the columns ``layout``, at most ``partitions`` of them if that is said.
+
+        The bounds of the first of the columns are kept for each file.
+        """
         table = cls(df.sparkSession, path)
         df.limit(0).write.parquet(f"{path}/columns")
         df.limit(0).select(*layout).write.parquet(f"{path}/layout")
-        table._commit(1, table._write(arrange(df, layout), layout[0]), None)
+        table._commit(1, table._write(arrange(df, layout, partitions=partitions), layout[0]), None)
         return table
 
     @property

@@ -218,7 +218,7 @@ def delete_by_keys_mixed_types(spark, sf_dir):
 def delete_touched_files(spark, sf_dir):
     """Lines in files by ship date, without the returned ones that were shipped over four years before the last: later files stay."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_returnflag")
-    stored = sinks.FileTable.create(lines.drop("l_returnflag"), fresh_path(spark, "lines"), ["l_shipdate"])
+    stored = sinks.FileTable.create(lines.drop("l_returnflag"), fresh_path(spark, "lines"), ["l_shipdate"], partitions=32)
     last = lines.agg(F.max("l_shipdate").alias("_last"))
     old = F.col("l_shipdate") < F.col("_last") - F.expr("INTERVAL 4 YEAR")
     gone = lines.filter("l_returnflag = 'R'").join(F.broadcast(last), old, "left_semi")
