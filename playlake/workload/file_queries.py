@@ -149,13 +149,12 @@ def scan_csv(spark, sf_dir):
 
 
 def write_multiline_csv(spark, sf_dir: str) -> str:
-    """The events as one CSV file; some artists are credited in two lines, with a quote, and a few locations in three."""
+    """The events as CSV files; some artists are credited in two lines, with a quote, and a few locations in three."""
     path = fresh_path(spark, "csv")
     events = staged_events(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.EVENT_CSV])
     credited = events.withColumn("artist", F.replace("artist", F.lit(" (live)"), F.lit(' \n"live", at home')))
     spread = F.when(F.col("sessionId") % 7 == 0, F.replace("location", F.lit(", "), F.lit(",\n\n"))).otherwise(F.col("location"))
-    one = credited.withColumn("location", spread).coalesce(1)
-    one.write.option("header", True).option("escape", '"').option("lineSep", "\n").csv(path)
+    credited.withColumn("location", spread).write.option("header", True).option("escape", '"').option("lineSep", "\n").csv(path)
     return path
 
 
@@ -167,11 +166,18 @@ MULTILINE = WITH + (
 
 @query("scan_csv_multiline", MULTILINE)
 def scan_csv_multiline(spark, sf_dir):
-    """One file, read by many tasks though its fields hold line breaks."""
+    """Files that are each read by many tasks where they are large, though their fields hold line breaks."""
     rows = sources.read_csv_records(spark, write_multiline_csv(spark, sf_dir), schemas.EVENT_CSV)
     return rows.filter(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)
 
 
+def with_headers(lines, header: str):
+    """``lines`` (one column, ``value``) with ``header`` before the first line of every task: each file that is written begins with one."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")  # the row's place in its task
+    both = F.when(F.col("_place") == 0, F.array(F.lit(header), F.col("value"))).otherwise(F.array("value"))
+    return lines.select("value", place).select(F.explode(both).alias("value"))
+
+
 @query(
     "csv_rejected",
     WITH + "SELECT page, \"sessionId\" AS session_id FROM ev WHERE page IN ('error', 'signup') UNION ALL SELECT 'kept', count(*) FROM ev WHERE page NOT IN ('error', 'signup')",
@@ -184,8 +190,7 @@ def csv_rejected(spark, sf_dir):
     line = F.to_csv(F.struct(*spelled.columns), {"escape": '"'})
     cut = F.when(F.col("page") == "error", F.regexp_replace(line, ",[^,]*,[^,]*$", "")).otherwise(line)
     texts = spelled.select(cut.alias("value"))
-    header = spark.range(1).select(F.lit(",".join(spelled.columns)).alias("value"))  # each file begins with one
-    header.union(texts).coalesce(1).write.text(path)
+    with_headers(texts, ",".join(spelled.columns)).write.text(path)
     rows = sources.read_csv_records(spark, path, schemas.EVENT_CSV)
     good, bad = sources.split_corrupt(rows)
     session = F.coalesce("sessionId", F.lit(-1)).cast("bigint").alias("session_id")
