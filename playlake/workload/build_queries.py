@@ -183,7 +183,7 @@ def serving_build(spark, sf_dir):
     " QUALIFY row_number() OVER (PARTITION BY \"sessionId\", \"itemInSession\" ORDER BY artist DESC, song DESC, length DESC) = 1",
 )
 def serving_multiline(spark, sf_dir):
-    """The table by session and item, built of one CSV file whose quoted fields hold line breaks."""
+    """The table by session and item, built of CSV files whose quoted fields hold line breaks."""
     return build_serving(spark, write_multiline_csv(spark, sf_dir), fresh_path(spark, "serving"))["session_item"]
 
 

@@ -10,6 +10,7 @@ from playlake import schemas
 from playlake.plans import build_serving
 from playlake.sources import read_csv_records
 from playlake.sources.records import csv_lines, records
+from tests.conftest import SMALL
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 SCHEMA = StructType([StructField("a", IntegerType()), StructField("b", StringType()), StructField("c", StringType())])
@@ -48,6 +49,39 @@ def test_records_across_splits(spark, out):
         assert found[path] == sorted([str(a), b, c] for a, b, c in own)
 
 
+@pytest.mark.parametrize("bits", [0, 2, 5])
+def test_records_across_pieces(spark, out, monkeypatch, bits):
+    """The lines of a split are taken in pieces of 1, 4 or 32, whose borders fall into fields."""
+    monkeypatch.setattr("playlake.sources.records.PIECE_BITS", bits)
+    rows = {f"{out}/{k}.csv": random_rows(k + 7, 60) + [(999, "long\n" * 50, "end")] for k in range(2)}
+    for path, own in rows.items():
+        write(path, own)
+    texts = [r["value"] for r in records(csv_lines(spark, out, name_glob="*.csv")).collect()]
+    found = sorted(next(csv.reader(text.splitlines(True))) for text in texts)
+    assert found == sorted([str(a), b, c] for own in rows.values() for a, b, c in own)
+
+
+def test_inputs_are_written_by_many_tasks(spark, out, monkeypatch):
+    """No task holds all rows: events in eight parts give as many files, each with its header."""
+    from pyspark.sql import functions as F
+
+    from playlake.workload import file_queries
+
+    parts = file_queries.staged_events(spark, SMALL).repartition(8).cache()
+    monkeypatch.setattr(file_queries, "staged_events", lambda spark, sf_dir: parts)
+    path = file_queries.write_multiline_csv(spark, SMALL)
+    assert spark.read.text(path).select("_metadata.file_path").distinct().count() == 8
+    header = ",".join(schemas.EVENT_CSV.names)
+    lines = parts.select(F.col("page").alias("value"))
+    file_queries.with_headers(lines, header).write.text(out + "/lines")
+    by_file = spark.read.text(out + "/lines").groupBy("_metadata.file_path").agg(F.sum((F.col("value") == header).cast("int")).alias("n"))
+    assert [r["n"] for r in by_file.collect()] == [1] * 8
+    assert spark.read.text(out + "/lines").count() == parts.count() + 8
+    read = file_queries.csv_rejected(spark, SMALL)
+    assert read.filter("page = 'kept'").collect()[0]["session_id"] + read.count() - 1 == parts.count()
+    parts.unpersist()
+
+
 def test_values_and_damaged_rows(spark, out):
     write(f"{out}/a.csv", [(1, "two\nlines", "x"), ("no number", "y", "z"), (2, "q", 'a "b"\n c')], end="\r\n")
     with open(f"{out}/a.csv", "a", newline="") as f:
