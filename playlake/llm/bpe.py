@@ -21,9 +21,9 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
-#: Entries of the per-process memories; they are emptied when full, which costs time only. A piece takes some 200 bytes, a match or a pair 100:
-#: 60 MB for all of them.
-PIECES_KEPT = 50_000
+#: Entries of the per-process memories; they are emptied when full, which costs time only. A piece takes some 200 bytes, a match or a pair 100.
+#: The two memories of pieces hold twice as many at most, old ones included: 160 MB, and 60 MB for matches and pairs.
+PIECES_KEPT = 200_000
 PAIRS_KEPT = 300_000
 #: Bytes by which most longest matches are decided.
 NEAR = 6
@@ -252,7 +252,20 @@ class BytePairs:
         def decode(packed: pd.Series) -> pd.Series:
             return packed.map(_codec(sent.value, pattern).decode)
 
-        self.encode, self.decode = encode, decode
+        @F.pandas_udf("ids binary, decoded binary")
+        def round_trip(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            codec = _codec(sent.value, pattern)
+            for texts in batches:
+                ids = texts.map(codec.encode)
+                yield pd.DataFrame({"ids": ids, "decoded": ids.map(codec.decode)})
+            codec.forget()
+
+        self.encode, self.decode, self._round_trip = encode, decode, round_trip
+
+    def round_trip(self, df: DataFrame, text: Column, name: str) -> DataFrame:
+        """``df`` with a column ``name``: a struct of ``ids``, the packed ids of ``text``, and ``decoded``, the bytes that they decode to. One process
+        does both, so a task holds one vocabulary."""
+        return df.withColumn(name, self._round_trip(F.coalesce(text, F.lit(""))))
 
     def encoded(self, df: DataFrame, text: Column, ids: str) -> DataFrame:
         """``df`` with a column ``ids``: the packed ids of ``text``."""

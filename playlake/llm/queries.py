@@ -37,12 +37,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text decoded from them, as digests."""
     pairs = bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = pairs.encoded(docs, F.col("text"), "ids").withColumn("decoded", pairs.decode("ids"))
-    return encoded.select(
+    coded = pairs.round_trip(docs, F.col("text"), "coded")
+    return coded.select(
         "doc_id",
-        bpe.n_ids(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.n_ids(F.col("coded.ids")).alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -46,11 +46,12 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its ids, packed, and their number. Ids that do not decode to the text stop the run."""
     pairs = bpe.BytePairs(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids, n, decoded = (unused(docs, name) for name in ("ids", "n_tokens", "decoded"))
-    encoded = pairs.encoded(docs, F.col("text"), ids).withColumn(decoded, pairs.decode(F.col(quoted(ids))))
-    same = F.col(quoted(decoded)) == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    checked = encoded.withColumn(ids, F.when(same, F.col(quoted(ids))).otherwise(F.raise_error(F.lit("ids do not decode to the text"))))
-    return checked.withColumn(n, bpe.n_ids(F.col(quoted(ids)))).drop(decoded)
+    ids, n, coded = (unused(docs, name) for name in ("ids", "n_tokens", "coded"))
+    both = pairs.round_trip(docs, F.col("text"), coded)
+    found, decoded = F.col(quoted(coded))["ids"], F.col(quoted(coded))["decoded"]
+    same = decoded == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    checked = both.withColumn(ids, F.when(same, found).otherwise(F.raise_error(F.lit("ids do not decode to the text"))))
+    return checked.withColumn(n, bpe.n_ids(F.col(quoted(ids)))).drop(coded)
 
 
 STAGES = [

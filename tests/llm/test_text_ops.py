@@ -47,6 +47,21 @@ def test_byte_pairs_as_the_library(spark):
         assert codec.encode(text) == np.array(library.encode_ordinary(text), "<u4").tobytes()
 
 
+def test_byte_pairs_in_one_process(spark):
+    """Ids and the text decoded from them come from one Python process a task, for the query and for the stage."""
+    from playlake.llm import stages
+    from playlake.operators.profile import plan_text
+
+    df = spark.createDataFrame([(1, "Hello  wörld, été\n\n 12x"), (2, None), (3, "")], "doc_id long, text string")
+    coded = stages.encode(spark, df, SMALL)
+    for plan in (coded, QUERIES["op7_byte_bpe"](spark, SMALL)):
+        assert plan_text(plan, "simple").count("ArrowEvalPython") == 1
+    rows = bpe.BytePairs(spark, VOCABULARY, public_tokenizers.PATTERN).round_trip(df, F.col("text"), "coded").collect()
+    codec = bpe.Codec(open(VOCABULARY, "rb").read(), public_tokenizers.PATTERN)
+    assert [(bytes(r["coded"]["ids"]), bytes(r["coded"]["decoded"])) for r in rows] == [(codec.encode(r["text"]), (r["text"] or "").encode()) for r in rows]
+    assert coded.columns == ["doc_id", "text", "ids", "n_tokens"]
+
+
 def test_byte_pairs_of_nulls_and_clashing_names(spark):
     pairs = bpe.BytePairs(spark, VOCABULARY, public_tokenizers.PATTERN)
     df = spark.createDataFrame([(1, None, "x"), (1, "", "y"), (None, "ab", None)], "doc_id long, text string, n_tokens string")
