@@ -330,13 +330,20 @@ def _search_short(documents, flat: np.ndarray, first: np.ndarray, owner: np.ndar
         at = end
 
 
+def _sums(rows: np.ndarray) -> np.ndarray:
+    """Sums of every ``HALF`` rows, and of those left over, in the order of the rows."""
+    whole = len(rows) // HALF * HALF
+    sums = rows[:whole].reshape(-1, HALF, rows.shape[1]).sum(axis=1)
+    return np.concatenate((sums, rows[whole:].sum(axis=0, keepdims=True))) if whole < len(rows) else sums
+
+
 def _search_near(documents: list[tuple[int, np.ndarray]], benchmark: Benchmark, out: list[dict]) -> None:
     """Add the items whose passages are near to a window and whose pieces stand around it."""
     for k, ids in documents:
         for at in range(0, max(1, (len(ids) - 1) // HALF), _HALVES):
             # One half more than windows begin here, as a window takes the half behind it too.
             part = ids[at * HALF : (at + _HALVES + 1) * HALF]
-            halves = np.add.reduceat(benchmark.embedding[part], np.arange(0, len(part), HALF), axis=0)
+            halves = _sums(benchmark.embedding[part])
             windows = halves[:-1] + halves[1:] if len(halves) > 1 else halves
             windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
             for p in range(0, len(benchmark.targets), _PASSAGES):

@@ -47,6 +47,13 @@ def test_byte_pairs_as_the_library(spark):
         assert codec.encode(text) == np.array(library.encode_ordinary(text), "<u4").tobytes()
 
 
+def test_sums_of_stretches():
+    rows = np.random.default_rng(3).standard_normal((5 * latent_decon.HALF + 3, 7))
+    for n in (1, latent_decon.HALF - 1, latent_decon.HALF, latent_decon.HALF + 1, len(rows)):
+        want = [rows[at : min(n, at + latent_decon.HALF)].sum(axis=0) for at in range(0, n, latent_decon.HALF)]
+        assert np.allclose(latent_decon._sums(rows[:n]), want, rtol=0, atol=1e-12)
+
+
 def test_byte_pairs_in_one_process(spark):
     """Ids and the text decoded from them come from one Python process a task, for the query and for the stage."""
     from playlake.llm import stages
