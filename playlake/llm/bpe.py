@@ -17,14 +17,19 @@ from struct import Struct
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType
 
-#: Entries of the per-process memories; they are emptied when full, which costs time only. A piece takes some 200 bytes, a match or a pair 100.
-#: The two memories of pieces hold twice as many at most, old ones included: 160 MB, and 60 MB for matches and pairs.
-PIECES_KEPT = 200_000
-PAIRS_KEPT = 300_000
+#: Entries of the per-process memories; they are emptied when full, which costs time only. Just under two thirds of a power of two, where a dict
+#: doubles its table: a piece takes some 150 bytes, a match or a pair 80.
+PIECES_KEPT = 340_000
+PAIRS_KEPT = 340_000
+#: Signs and ids of the pieces in one memory; with it the two memories of pieces, old ones included, stay under some 250 MB whatever the script.
+PIECE_BYTES_KEPT = 16 << 20
+#: Bytes of ids that leave a task at once; Spark hands over 10,000 texts together.
+HANDED_ON = 1 << 20
 #: Bytes by which most longest matches are decided.
 NEAR = 6
 #: A vocabulary file is sent to every executor; larger ones are refused.
@@ -164,19 +169,25 @@ class Memory(dict):
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.held = make, {}, 0
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= PIECES_KEPT:
+        if len(self) >= PIECES_KEPT or self.held >= PIECE_BYTES_KEPT:
             self.older = dict(self)
             self.clear()
+            self.held = 0
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= 64:
             self[key] = value
+            self.held += len(key) + len(value)
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.held = {}, 0
+
 
 #: Packing of short lists of ids.
 _PACK = [Struct(f"<{n}I").pack for n in range(33)]
@@ -207,13 +218,28 @@ class Codec:
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.parts.__getitem__, self.cut(text))) if text else b""
 
+    def encoded(self, batches: Iterator[pa.Array]) -> Iterator[list[bytes]]:
+        """Ids of all texts in order, a few texts at a time, so that no batch of Spark's stands whole in Python. The memories are emptied in the end and
+        given back, as processes take turns: one that waits, perhaps for other work, would go on holding them."""
+        for texts in batches:
+            out, size = [], 0
+            for text in texts:
+                out.append(self.encode(text.as_py()))
+                size += len(out[-1])
+                if size >= HANDED_ON:
+                    yield out
+                    out, size = [], 0
+            if out:
+                yield out
+        self.forget()
+
     def forget(self) -> None:
-        """Empty all memories: the process may go on with other work."""
+        """Empty all memories."""
         self.ranks.near.clear()
         self.ranks.fits.clear()
-        for memory in (self.pieces, self.parts):
-            memory.clear()
-            memory.older = {}
+        self.pieces.forget()
+        self.parts.forget()
+        pa.default_memory_pool().release_unused()
 
     def decode(self, packed: bytes | None) -> bytes:
         ids = np.frombuffer(packed or b"", dtype="<u4").tolist()
@@ -241,24 +267,21 @@ class BytePairs:
             raise ValueError(f"{path} is larger than {MOST_VOCABULARY_BYTES} bytes")
         sent = spark.sparkContext.broadcast(content)
 
-        @F.pandas_udf(BinaryType())
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            codec = _codec(sent.value, pattern)
-            for texts in batches:
-                yield texts.map(codec.encode)
-            codec.forget()
+        @F.arrow_udf(BinaryType())
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for ids in _codec(sent.value, pattern).encoded(batches):
+                yield pa.array(ids, pa.binary())
 
         @F.pandas_udf(BinaryType())
         def decode(packed: pd.Series) -> pd.Series:
             return packed.map(_codec(sent.value, pattern).decode)
 
-        @F.pandas_udf("ids binary, decoded binary")
-        def round_trip(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("ids binary, decoded binary")
+        def round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(sent.value, pattern)
-            for texts in batches:
-                ids = texts.map(codec.encode)
-                yield pd.DataFrame({"ids": ids, "decoded": ids.map(codec.decode)})
-            codec.forget()
+            for ids in codec.encoded(batches):
+                columns = [pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.binary())]
+                yield pa.StructArray.from_arrays(columns, ["ids", "decoded"])
 
         self.encode, self.decode, self._round_trip = encode, decode, round_trip
 

@@ -180,8 +180,7 @@ def word_ranks(df: DataFrame, text: Column, kept: int = WORDS_KEPT) -> dict[str,
 
 def with_spans(df: DataFrame, text: Column, name: str, hard: float = HARD, words_kept: int = WORDS_KEPT) -> DataFrame:
     """``df`` with a column ``name``: all spans of ``text`` as an array of (kind, start, end, cost), in order."""
-    ranks = word_ranks(df, text, words_kept)
-    sent = df.sparkSession.sparkContext.broadcast((ranks, max(map(len, ranks))))
+    sent = _sent_ranks(df, text, words_kept)
 
     @F.pandas_udf(SPANS)
     def spans(texts: pd.Series) -> pd.Series:
@@ -191,6 +190,30 @@ def with_spans(df: DataFrame, text: Column, name: str, hard: float = HARD, words
     return df.withColumn(name, spans(F.coalesce(text, F.lit(""))))
 
 
+def with_redacted(
+    df: DataFrame, text: Column, name: str, mark: str = "[SECRET]", hard: float = HARD, words_kept: int = WORDS_KEPT
+) -> DataFrame:
+    """``df`` with a column ``name``: a struct of ``spans``, as of ``with_spans``, and ``text``, as of ``redacted``. One process does both, so a task holds the
+    words and a batch of texts once."""
+    sent = _sent_ranks(df, text, words_kept)
+
+    @F.pandas_udf(StructType([StructField("spans", SPANS), StructField("cut", StringType())]))
+    def both(texts: pd.Series) -> pd.DataFrame:
+        known, longest = sent.value
+        spans = texts.map(partial(_rows, ranks=known, longest=longest, hard=hard))
+        cut = [_cut(t, s, mark) if s else None for t, s in zip(texts, spans)]
+        return pd.DataFrame({"spans": spans, "cut": pd.Series(cut, index=texts.index, dtype=object)})
+
+    found = both(F.coalesce(text, F.lit("")))
+    left = F.when(F.size(found["spans"]) > 0, found["cut"]).otherwise(text)
+    return df.withColumn(name, F.struct(found["spans"].alias("spans"), left.alias("text")))
+
+
+def _sent_ranks(df: DataFrame, text: Column, words_kept: int):
+    ranks = word_ranks(df, text, words_kept)
+    return df.sparkSession.sparkContext.broadcast((ranks, max(map(len, ranks))))
+
+
 def _rows(text: str, **how) -> list[dict]:
     return [dict(zip(("kind", "start", "end", "cost"), span)) for span in find(text, **how)]
 

@@ -37,10 +37,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in every text are replaced by a mark; ``n_chars`` follows. No document goes. Null texts stay null."""
     found = unused(docs, "found")
-    spans = secrets.with_spans(docs, F.col("text"), found)
-    cut = spans.withColumn("text", secrets.redacted(F.col("text"), F.col(quoted(found))))
-    changed = F.size(quoted(found)) > 0
-    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*map(quoted, docs.columns))
+    cut = secrets.with_redacted(docs, F.col("text"), found)
+    spans, text = F.col(quoted(found))["spans"], F.col(quoted(found))["text"]
+    n_chars = F.when(F.size(spans) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumns({"text": text, "n_chars": n_chars}).select(*map(quoted, docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
