@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from playlake.llm import bpe, latent_decon, rule_ensemble, secrets, simhash
 from playlake.llm.common import quoted, table, unused
 from playlake.llm.queries import KEEP_FROM, quality_features, quality_rules
+from playlake.storage import materialize
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose quality score is at least ``KEEP_FROM``. The rules are learned from labelled documents of ``docs``; only these are
-    measured twice."""
+    """The documents whose quality score is at least ``KEEP_FROM``. The rules are learned from labelled documents of ``docs``. All are measured twice:
+    looking for the labelled ones first would shuffle whole texts, afterwards numbers only."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled")).distinct()
-    rules = quality_rules(spark, quality_features(docs.join(labels, F.col("doc_id") == F.col("labelled"), "left_semi")), sf_dir)
+    labelled = quality_features(docs).join(labels, F.col("doc_id") == F.col("labelled"), "left_semi")
+    rules = quality_rules(spark, materialize(labelled, "labelled"), sf_dir)
     names = {name: unused(docs, f"_{name}") for name in rule_ensemble.NAMES}
     statistics = rule_ensemble.statistics(F.col("text"))
     measured = docs.select("*", *[statistics[name].alias(column) for name, column in names.items()])

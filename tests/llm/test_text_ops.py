@@ -105,6 +105,19 @@ def test_secrets_are_hidden_in_one_process(spark):
     assert rows[1][0] is None and rows[3][0] == "[SECRET]'" and "[SECRET]" in rows[4][0] and hidden.columns == df.columns
 
 
+def test_quality_meets_labels_without_texts(spark, monkeypatch):
+    """Whole texts are not shuffled to find the labelled ones; the documents kept are those that the operator scores so."""
+    from playlake.llm import stages
+    from playlake.operators.profile import plan_text
+
+    docs, plans, measure = spark.read.parquet(f"{SMALL}/documents.parquet"), [], stages.quality_features
+    monkeypatch.setattr(stages, "quality_features", lambda df: plans.append(plan_text(df, "simple")) or measure(df))
+    kept = stages.good_quality(spark, docs, SMALL)
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Join" not in plans[0]
+    scored = QUERIES["op5_rule_ensemble"](spark, SMALL).filter("predicted = 1")
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(r[0] for r in scored.select("doc_id").collect())
+
+
 def test_byte_pairs_of_nulls_and_clashing_names(spark):
     pairs = bpe.BytePairs(spark, VOCABULARY, public_tokenizers.PATTERN)
     df = spark.createDataFrame([(1, None, "x"), (1, "", "y"), (None, "ab", None)], "doc_id long, text string, n_tokens string")
