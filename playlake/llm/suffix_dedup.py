@@ -12,8 +12,8 @@ shuffles and compares them at three lengths only, and only what may still be rep
    seeds, 128 bits): the bytes of up to ``TOGETHER`` different runs of an anchor rank meet in a task; of larger groups every
    string is a row, and Spark counts equal ranks.
 
-An anchor that half of the documents share is one row per run, counted before the shuffle; no task sees all rows of a rank. Texts
-travel compressed. Null and empty texts have nothing removed. Rows with repeated or null ids are rows of their own, and repeated rows are
+An anchor that half of the documents share is one row per run, counted before the shuffle; no task sees all rows of a rank. The rows of
+a run that very many texts hold are not shuffled at all. Texts travel compressed. Null and empty texts have nothing removed. Rows with repeated or null ids are rows of their own, and repeated rows are
 repeats of each other.
 """
 
@@ -34,6 +34,8 @@ from playlake.storage import materialize, with_place
 SEGMENT = 1 << 19
 #: Different runs of one anchor rank whose bytes are compared in one task.
 TOGETHER = 1024
+#: Runs with more than one in so many of all rows are matched without a shuffle: their keys are fewer than this.
+OFTEN = 1024
 #: Bytes of runs that are ranked at once, besides what is left of the last group; texts whose runs leave a task at once.
 COMPARED, HANDED_ON = 1 << 20, 500
 _PLACE = np.uint64((1 << 20) - 1)
@@ -217,6 +219,21 @@ def _kept(packed: Column, listed: Column, n_bytes: int) -> Column:
     return of(packed, listed)
 
 
+def _with_copies(alive: DataFrame, whole: DataFrame) -> DataFrame:
+    """The rows of ``alive`` whose run has copies, by the ``times`` of ``whole``.
+
+    Adaptive execution splits a hot partition between the tasks that wrote it, and one of them may hold most rows of a run. So the
+    runs with many of the rows (fewer than ``OFTEN``) go to the rows, and only the others are shuffled.
+    """
+    many = alive.count() // OFTEN
+    copied = whole.filter("times > 1").select(F.col("rank").alias("r"), F.col("whole").alias("w"), "times")
+    often = F.broadcast(copied.filter(F.col("times") > many))
+    same = (alive["rank"] == often["r"]) & (alive["whole"] == often["w"])
+    rest = alive.join(often, same, "left_anti")
+    seldom = skew_join(rest, copied.filter(F.col("times") <= many), {"rank": "r", "whole": "w"}, "left_semi")
+    return alive.join(often, same, "left_semi").union(seldom)
+
+
 def without_repeats(
     df: DataFrame, doc_id: str, text: str, n_bytes: int = 400, from_scan: bool = False, together: int = TOGETHER
 ) -> DataFrame:
@@ -236,8 +253,7 @@ def without_repeats(
     # 2. Runs that are equal as a whole. The anchor rank and the hash of all bytes are 128 bits together.
     one = F.min(F.struct("row", "run")).alias("one")
     whole = materialize(alive.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("times"), one), "whole-runs")
-    copied = whole.filter("times > 1").select(F.col("rank").alias("r"), F.col("whole").alias("w"))
-    repeated = skew_join(alive, copied, {"rank": "r", "whole": "w"}, "inner").select("row", F.col("run").alias("hit"))
+    repeated = _with_copies(alive, whole).select("row", F.col("run").alias("hit"))
 
     # 3. Strings in runs that differ from others of their rank.
     mixed = whole.groupBy(F.col("rank").alias("r")).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")

@@ -263,6 +263,55 @@ def test_repeats_against_all_strings(spark):
     assert suffix_dedup.without_repeats(df.limit(0), "id", "t").count() == 0
 
 
+def test_run_that_most_rows_hold_is_not_shuffled(spark):
+    """Rows of a very frequent run stay where they were read, also those that one task wrote."""
+    n, hot = 20_000, F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id"))
+    alive = spark.range(0, n, 1, 8).select(hot.alias("rank"), (hot % 3000).alias("whole"), F.col("id").alias("row"), F.lit(1).alias("run"))
+    whole = alive.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("times"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = suffix_dedup._with_copies(alive, whole).select("row", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r["row"] for r in got) == [i for i in range(n) if i % 10]
+    assert max(Counter(r["task"] for r in got).values()) <= n // 8
+
+
+def test_copies_of_seldom_and_frequent_runs(spark, monkeypatch):
+    """Frequent runs take one path and seldom ones another: results do not depend on what counts as frequent."""
+    dice = random.Random(8)
+    lines = ["".join(dice.choice("abc") for _ in range(90)) for _ in range(12)]
+    docs = [(i, "".join(dice.choice(lines[: 2 + i % 11]) for _ in range(6))) for i in range(60)] + [(60, None), (None, lines[0] * 6)]
+    df = spark.createDataFrame(docs, "id long, t string")
+    seen = Counter(t[i : i + 40] for _, t in docs for i in range(len(t or "") - 39) if t)
+    want = []
+    for k, t in docs:
+        gone = bytearray(len(t or ""))
+        for i in range(len(gone) - 39):
+            if seen[t[i : i + 40]] > 1:
+                gone[i : i + 40] = b"\1" * 40
+        want.append((k, sum(gone), "".join(c for c, g in zip(t or "", gone) if not g).encode()))
+    for often in (1, 20, 10**9):
+        monkeypatch.setattr(suffix_dedup, "OFTEN", often)
+        rows = suffix_dedup.without_repeats(df, "id", "t", 40).select("id", "n_removed", "kept").collect()
+        assert sorted([(r[0], r[1], bytes(r[2])) for r in rows], key=str) == sorted(want, key=str)
+
+
+def test_only_repeats_of_the_stated_length_go(spark):
+    """A passage of over 50 words that stands in two texts stays if it is under 400 bytes, goes if it has them, and other texts are left alone."""
+    dice = random.Random(12)
+
+    def words(n, size):
+        return " ".join("".join(dice.choice("abcdefgh") for _ in range(size)) for _ in range(n))
+
+    passages = [words(55, 5), words(55, 8), words(57, 6) + "z", words(57, 6) + "zz"]
+    assert [len(p) for p in passages] == [329, 494, 399, 400]
+    texts = [f"{words(30, 5)}{a}{p}{b}{words(30, 5)}" for p in passages for a, b in (("<", ">"), ("[", "]"))] + [words(90, 6)]
+    rows = suffix_dedup.without_repeats(spark.createDataFrame([*enumerate(texts)], "id long, t string"), "id", "t").collect()
+    assert [r["n_removed"] for r in sorted(rows, key=lambda r: r["id"])] == [0, 0, 494, 494, 0, 0, 400, 400, 0]
+
+
 def test_quality_on_held_out_rows(spark):
     labels = {r[0]: r[1] for r in small("labels")}
     rows = QUERIES["op5_rule_ensemble"](spark, SMALL).collect()
