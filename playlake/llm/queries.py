@@ -93,10 +93,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every text without byte strings of 400 that start anywhere else too."""
-    kept = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", 400, from_scan=True)
+    """What is left of every text without byte strings of 400 that start anywhere else too, and if over 50 words in a row stand in another one."""
+    kept = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", 400, from_scan=True, n_words=51)
     has_repeats = (F.col("n_removed") > 0).alias("has_repeats")
-    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), has_repeats)
+    shares_passage = F.col("shares_words").cast("int").alias("shares_passage")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), has_repeats, shares_passage)
 
 
 @register

@@ -15,8 +15,12 @@ shuffles and compares them at three lengths only, and only what may still be rep
 An anchor that half of the documents share is one row per run, counted before the shuffle; no task sees all rows of a rank. The rows of
 a run that very many texts hold are not shuffled at all. Texts travel compressed. Null and empty texts have nothing removed. Rows with repeated or null ids are rows of their own, and repeated rows are
 repeats of each other.
+
+On request the same steps also tell which texts share a passage of so many words with another row, where a word's hash takes
+the place of a byte. What is removed does not depend on it: passages of short words can have fewer bytes than removal asks for.
 """
 
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,12 +36,13 @@ from playlake.storage import materialize, with_place
 
 #: Strings of one document that are ranked at once.
 SEGMENT = 1 << 19
-#: Different runs of one anchor rank whose bytes are compared in one task.
-TOGETHER = 1024
+#: Different runs of one anchor rank whose bytes are compared in one task; of words, with an eighth of the strings, ``WORDS_TOGETHER`` times as many.
+TOGETHER, WORDS_TOGETHER = 1024, 8
 #: Runs with more than one in so many of all rows are matched without a shuffle: their keys are fewer than this.
-OFTEN = 1024
+OFTEN = 4096
 #: Bytes of runs that are ranked at once, besides what is left of the last group; texts whose runs leave a task at once.
 COMPARED, HANDED_ON = 1 << 20, 500
+_SPACE = re.compile(rb"[\x20\t-\r]")
 _PLACE = np.uint64((1 << 20) - 1)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -52,9 +57,12 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def ranks(data: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """Rank of each place at ``length``: doubling up to the largest power of two below, then one pair that overlaps."""
-    signs = _pair(np.arange(256, dtype=np.uint64) + np.uint64(seed << 32), np.full(256, _K2))
-    rank, have = signs[data], 1
+    """Rank of each place at ``length``, of bytes or hashes of words: doubling up to the largest power of two below, then one pair that overlaps."""
+    if data.dtype == np.uint8:
+        rank = _pair(np.arange(256, dtype=np.uint64) + np.uint64(seed << 32), np.full(256, _K2))[data]
+    else:
+        rank = _pair(data + np.uint64(seed << 32), _K2)
+    have = 1
     while have * 2 <= length:
         rank, have = _pair(rank[:-have], rank[have:]), have * 2
     return rank if have == length else _pair(rank[: len(rank) - (length - have)], rank[length - have :])
@@ -72,10 +80,10 @@ def anchor_length(n_bytes: int) -> int:
     return 1 << max((n_bytes // 6).bit_length() - 1, 0)
 
 
-def runs(data: np.ndarray, n_bytes: int) -> list[tuple[int, int, int]]:
-    """(anchor rank, first string, strings) for each run of strings of ``data`` with one anchor."""
+def runs(data: np.ndarray, n_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor ranks, first strings and numbers of strings of the runs of strings of ``data`` with one anchor."""
     gram = anchor_length(n_bytes)
-    out = []
+    found = []
     for begin in range(0, len(data) - n_bytes + 1, SEGMENT):
         part = data[begin : begin + SEGMENT + n_bytes - 1]
         rank = ranks(part, gram, 0)
@@ -84,15 +92,25 @@ def runs(data: np.ndarray, n_bytes: int) -> list[tuple[int, int, int]]:
         anchor = (_least(ordered, n_bytes - gram + 1) & _PLACE).astype(np.int64)
         starts = np.concatenate(([0], np.flatnonzero(np.diff(anchor)) + 1))
         counts = np.diff(np.concatenate((starts, [len(anchor)])))
-        values = rank[anchor[starts]].view(np.int64)
-        out += zip(values.tolist(), (starts + begin).tolist(), counts.tolist())
-    return out
+        found.append((rank[anchor[starts]].view(np.int64), starts + begin, counts))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode()
 
 
+def words(raw: bytes) -> np.ndarray:
+    """Hash of each word of a text; words end at ASCII white space. Long texts are cut in parts."""
+    parts, begin = [np.zeros(0, dtype=np.uint64)], 0
+    while begin < len(raw):
+        space = _SPACE.search(raw, begin + SEGMENT)
+        end = space.start() if space else len(raw)
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, raw[begin:end].split()), dtype=np.uint64))
+        begin = end
+    return np.concatenate(parts)
+
+
 def _compressed(text: Column) -> Column:
     @F.pandas_udf(BinaryType())
     def of(texts: pd.Series) -> pd.Series:
@@ -101,20 +119,26 @@ def _compressed(text: Column) -> Column:
     return of(F.coalesce(text, F.lit("")))
 
 
-def _find_runs(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
-    """Each run's anchor rank, the hash of all its bytes, and (first string, strings) in one number."""
+def _find_runs(batches: Iterator[pd.DataFrame], n_bytes: int, n_words: int | None = None) -> Iterator[pd.DataFrame]:
+    """Each run's anchor rank, the hash of all its bytes or words, (first string, strings) in one number, and which of the two it is of."""
+    kinds = [(False, n_bytes, n_bytes)] + ([(True, n_words, 2 * n_words - 1)] if n_words else [])
     for batch in _slices(batches, HANDED_ON):
-        rank, whole, row, run = [], [], [], []
+        whole, found = [], [(np.zeros(0, dtype=np.int64),) * 4]
         for number, text in zip(batch["row"].tolist(), batch["text"]):
             raw = _bytes(text)
-            if len(raw) >= n_bytes:
-                for anchor, first, count in runs(np.frombuffer(raw, np.uint8), n_bytes):
-                    rank.append(anchor)
-                    whole.append(xxhash.xxh3_64_intdigest(raw[first : first + count + n_bytes - 1]))
-                    row.append(number)
-                    run.append(first << 32 | count)
+            for of_words, n, least in kinds:
+                if len(raw) < least:
+                    continue
+                data = words(raw) if of_words else np.frombuffer(raw, np.uint8)
+                if len(data) >= n:
+                    rank, first, count = runs(data, n)
+                    buffer, width = (data.tobytes(), data.itemsize) if of_words else (raw, 1)
+                    places = zip((first * width).tolist(), ((first + count + n - 1) * width).tolist())
+                    whole += [xxhash.xxh3_64_intdigest(buffer[a:b]) for a, b in places]
+                    found.append((rank, np.full(len(rank), number), first << 32 | count, np.full(len(rank), of_words)))
+        rank, row, run, of_words = (np.concatenate(x) for x in zip(*found))
         whole = np.array(whole, dtype=np.uint64).view(np.int64)
-        yield pd.DataFrame({"rank": rank, "whole": whole, "row": row, "run": run}).astype("int64")
+        yield pd.DataFrame({"rank": rank, "whole": whole, "row": row, "run": run, "words": of_words.astype(bool)})
 
 
 def _slices(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
@@ -123,10 +147,10 @@ def _slices(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame
             yield batch.iloc[at : at + rows]
 
 
-def _string_ranks(parts: list[bytes], n_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every string in the parts: two ranks, the number of its part, and its place there."""
-    sizes = np.array([len(p) for p in parts])
-    data = np.frombuffer(b"".join(parts), np.uint8)
+def _string_ranks(parts: list[bytes], n_bytes: int, kind: type = np.uint8) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every string in the parts, of bytes or of words' hashes: two ranks, the number of its part, and its place there."""
+    data = np.frombuffer(b"".join(parts), kind)
+    sizes = np.array([len(p) for p in parts]) // data.itemsize
     part = np.repeat(np.arange(len(parts)), sizes)[: len(data) - n_bytes + 1]
     at = np.arange(len(part)) - (np.cumsum(sizes) - sizes)[part]
     inside = at + n_bytes <= sizes[part]
@@ -134,28 +158,36 @@ def _string_ranks(parts: list[bytes], n_bytes: int) -> tuple[np.ndarray, np.ndar
     return a, b, part[inside], at[inside]
 
 
-def _open_runs(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
-    """The listed runs of each text: their bytes, or their strings' ranks where the list says that the group is large."""
+def _open_runs(batches: Iterator[pd.DataFrame], n_bytes: int, n_words: int | None = None) -> Iterator[pd.DataFrame]:
+    """The listed runs of each text: their bytes or hashes of words, or their strings' ranks where the list says that the group is large."""
     for batch in _slices(batches, HANDED_ON):
         whole, single = [], []
         for row, text, listed in zip(batch["row"].tolist(), batch["text"], batch["runs"]):
             raw = zstandard.decompress(text)
+            hashes = words(raw).tobytes() if any(run["words"] for run in listed) else b""
             for run in listed:
-                first, count = run["run"] >> 32, run["run"] & 0xFFFFFFFF
-                part = raw[first : first + count + n_bytes - 1]
+                first, count, of_words = run["run"] >> 32, run["run"] & 0xFFFFFFFF, run["words"]
+                if of_words:
+                    part = hashes[8 * first : 8 * (first + count + n_words - 1)]
+                else:
+                    part = raw[first : first + count + n_bytes - 1]
                 if run["large"]:
-                    a, b, _, at = _string_ranks([part], n_bytes)
-                    single.append(pd.DataFrame({"rank": a, "h2": b, "row": row, "first": at + first, "copied": run["copied"], "data": None}))
+                    a, b, _, at = _string_ranks([part], *((n_words, np.uint64) if of_words else (n_bytes, np.uint8)))
+                    ranked = {"rank": a, "h2": b, "row": row, "first": at + first, "copied": run["copied"], "words": of_words, "data": None}
+                    single.append(pd.DataFrame(ranked))
                 else:
-                    whole.append((run["rank"], 0, row, first, run["copied"], part))
+                    whole.append((run["rank"], 0, row, first, run["copied"], of_words, part))
         if whole:
-            single.append(pd.DataFrame(whole, columns=["rank", "h2", "row", "first", "copied", "data"]))
+            single.append(pd.DataFrame(whole, columns=["rank", "h2", "row", "first", "copied", "words", "data"]))
         if single:
             yield pd.concat(single, ignore_index=True)
 
 
-def _compare(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataFrame]:
-    """Strings that stand in two runs of a group, or in one that has copies, as (row, run). Partitions are sorted by rank."""
+def _compare(batches: Iterator[pd.DataFrame], n_bytes: int, n_words: int | None = None) -> Iterator[pd.DataFrame]:
+    """Strings that stand in two runs of a group, or in one that has copies, as (row, run). Partitions are sorted by rank.
+
+    Of words, those that another row has: once a row, with -1 for the run.
+    """
     rest = None
     for batch in chain(_slices(batches, 2 * TOGETHER), [None]):
         if batch is not None:
@@ -169,7 +201,11 @@ def _compare(batches: Iterator[pd.DataFrame], n_bytes: int) -> Iterator[pd.DataF
         while begin < until:
             most = np.searchsorted(sizes, (sizes[begin - 1] if begin else 0) + COMPARED, "right")
             end = int(np.searchsorted(rank[:until], rank[min(max(most, begin + 1), until) - 1], "right"))  # whole groups
-            yield _same_strings(rest.iloc[begin:end], n_bytes)
+            of_words = rest["words"].to_numpy(dtype=bool)[begin:end]
+            if not of_words.all():
+                yield _same_strings(rest.iloc[begin:end][~of_words], n_bytes)
+            if of_words.any():
+                yield _shared_words(rest.iloc[begin:end][of_words], n_words)
             begin = end
         rest = rest.iloc[until:]
 
@@ -192,6 +228,17 @@ def _same_strings(group: pd.DataFrame, n_bytes: int) -> pd.DataFrame:
     return pd.DataFrame({"row": row[starts], "hit": place[starts] << 32 | lengths})
 
 
+def _shared_words(group: pd.DataFrame, n_words: int) -> pd.DataFrame:
+    a, b, part, _ = _string_ranks(group["data"].tolist(), n_words, np.uint64)
+    order = np.lexsort((b, a))
+    row, copied = (group[c].to_numpy()[part[order]] for c in ("row", "copied"))
+    change = np.flatnonzero((np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)) + 1
+    begin = np.concatenate(([0], change))
+    apart = (np.minimum.reduceat(row, begin) < np.maximum.reduceat(row, begin)) | (np.maximum.reduceat(copied, begin) > 0)
+    shared = np.repeat(apart, np.diff(np.concatenate((begin, [len(order)])))) & (copied == 0)
+    return pd.DataFrame({"row": np.unique(row[shared]), "hit": -1})
+
+
 def removed(listed, n: int, n_bytes: int) -> list[tuple[int, int]]:
     """Maximal covered stretches of ``n`` bytes, from packed (first string, strings)."""
     packed = np.sort(np.asarray(listed, dtype=np.int64))
@@ -235,46 +282,60 @@ def _with_copies(alive: DataFrame, whole: DataFrame) -> DataFrame:
 
 
 def without_repeats(
-    df: DataFrame, doc_id: str, text: str, n_bytes: int = 400, from_scan: bool = False, together: int = TOGETHER
+    df: DataFrame, doc_id: str, text: str, n_bytes: int = 400, from_scan: bool = False, together: int = TOGETHER, n_words: int | None = None
 ) -> DataFrame:
     """(``doc_id``, n_bytes, n_removed, n_spans, kept) for every row: ``kept`` are the bytes that no repeated string covers.
 
+    With ``n_words``, shares_words says further whether so many words in a row stand in another row too; words end at ASCII
+    white space, and a row's repeats of its own do not count.
     ``from_scan`` says that ``df`` is a scan of files; otherwise it is written first, so that rows keep their places.
     """
     docs = with_place(df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "row", from_scan)
-    long = docs.filter(F.octet_length("text") >= n_bytes)
-    every = long.select("row", "text").mapInPandas(lambda b: _find_runs(b, n_bytes), "rank long, whole long, row long, run long")
-    every = materialize(every, "runs")
+    long = docs.filter(F.octet_length("text") >= min(n_bytes, 2 * n_words - 1 if n_words else n_bytes))
+    schema = "rank long, whole long, row long, run long, words boolean"
+    every = materialize(long.select("row", "text").mapInPandas(lambda b: _find_runs(b, n_bytes, n_words), schema), "runs")
 
     # 1. Anchor ranks of more than one run.
     shared = every.groupBy(F.col("rank").alias("of")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("of")
     alive = materialize(skew_join(every, shared, {"rank": "of"}, "inner").select(*every.columns), "shared-runs")
 
-    # 2. Runs that are equal as a whole. The anchor rank and the hash of all bytes are 128 bits together.
+    # 2. Runs that are equal as a whole. The anchor rank and the hash of all bytes are 128 bits together. Strings of bytes
+    # repeat anywhere, those of words in another row.
+    rows = [F.count(F.lit(1)).alias("times"), F.min("row").alias("least"), F.max("row").alias("most"), F.max("words").alias("apart")]
+    again = F.when(F.col("apart"), F.col("least") < F.col("most")).otherwise(F.col("times") > 1)
     one = F.min(F.struct("row", "run")).alias("one")
-    whole = materialize(alive.groupBy("rank", "whole").agg(F.count(F.lit(1)).alias("times"), one), "whole-runs")
-    repeated = _with_copies(alive, whole).select("row", F.col("run").alias("hit"))
-
-    # 3. Strings in runs that differ from others of their rank.
-    mixed = whole.groupBy(F.col("rank").alias("r")).agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    listed = F.struct("rank", "one.run", (F.col("times") > 1).cast("int").alias("copied"), (F.col("kinds") > together).alias("large"))
+    whole = alive.groupBy("rank", "whole").agg(*rows, one)
+    times = F.when(again, F.col("times")).otherwise(1).alias("times")
+    whole = materialize(whole.select("rank", "whole", times, "one", F.col("apart").alias("words")), "whole-runs")
+    repeated = _with_copies(alive, whole).select("row", F.when(F.col("words"), -1).otherwise(F.col("run")).alias("hit"))
+
+    # 3. Strings in runs that differ from others of their rank, unless all of these have copies.
+    kinds = whole.groupBy(F.col("rank").alias("r")).agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("fewest"))
+    mixed = kinds.filter("kinds > 1 and fewest = 1")
+    copied = (F.col("times") > 1).cast("int").alias("copied")
+    large = F.col("kinds") > F.when(F.col("words"), WORDS_TOGETHER * together).otherwise(together)
+    listed = F.struct("rank", "one.run", copied, large.alias("large"), "words")
     open_runs = skew_join(whole, mixed, {"rank": "r"}, "inner").select(F.col("one.row").alias("of"), listed.alias("run"))
     per_doc = open_runs.groupBy("of").agg(F.collect_list("run").alias("runs"))  # as many as the document's bytes at most
     texts = long.select("row", _compressed(F.col("text")).alias("text"))
     look = texts.join(per_doc, texts["row"] == per_doc["of"]).select("row", "text", "runs")
-    schema = "rank long, h2 long, row long, first long, copied int, data binary"
-    strings = materialize(look.mapInPandas(lambda b: _open_runs(b, n_bytes), schema), "open-runs")
+    schema = "rank long, h2 long, row long, first long, copied int, words boolean, data binary"
+    strings = materialize(look.mapInPandas(lambda b: _open_runs(b, n_bytes, n_words), schema), "open-runs")
     groups = strings.filter("data is not null").repartition("rank").sortWithinPartitions("rank")
-    met = groups.mapInPandas(lambda b: _compare(b, n_bytes), "row long, hit long")
-    rows = strings.filter("data is null")
-    same = rows.groupBy(F.col("rank").alias("g1"), F.col("h2").alias("g2")).agg(F.count(F.lit(1)).alias("times"), F.max("copied").alias("any"))
-    same = same.filter("times > 1 or any = 1").select("g1", "g2")
-    single = skew_join(rows.filter("copied = 0"), same, {"rank": "g1", "h2": "g2"}, "inner")
-    single = single.select("row", F.shiftleft("first", 32).bitwiseOR(F.lit(1)).alias("hit"))
-
-    # A document's strings are as many as its bytes at most.
-    hits = repeated.union(met).union(single).groupBy(F.col("row").alias("of")).agg(F.collect_list("hit").alias("hits"))
+    met = groups.mapInPandas(lambda b: _compare(b, n_bytes, n_words), "row long, hit long")
+    single = strings.filter("data is null")
+    same = single.groupBy(F.col("rank").alias("g1"), F.col("h2").alias("g2")).agg(*rows, F.max("copied").alias("any"))
+    same = same.filter(again | (F.col("any") == 1)).select("g1", "g2")
+    single = skew_join(single.filter("copied = 0"), same, {"rank": "g1", "h2": "g2"}, "inner")
+    single = single.select("row", F.when(F.col("words"), -1).otherwise(F.shiftleft("first", 32).bitwiseOR(F.lit(1))).alias("hit"))
+
+    # A document's strings are as many as its bytes at most; those of words are noted, not listed.
+    hits = repeated.union(met).union(single).groupBy(F.col("row").alias("of"))
+    hits = hits.agg(F.collect_list(F.when(F.col("hit") >= 0, F.col("hit"))).alias("hits"), F.max(F.col("hit") < 0).alias("shares"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     packed = docs.select("id", "row", size, _compressed(F.col("text")).alias("packed"))
-    found = packed.join(hits, packed["row"] == hits["of"], "left").select("id", "n_bytes", _kept(F.col("packed"), F.col("hits"), n_bytes).alias("out"))
-    return found.select(F.col("id").alias(doc_id), "n_bytes", "out.n_removed", "out.n_spans", "out.kept")
+    shares = F.coalesce(F.col("shares"), F.lit(False)).alias("shares_words")
+    found = packed.join(hits, packed["row"] == hits["of"], "left")
+    found = found.select("id", "n_bytes", _kept(F.col("packed"), F.col("hits"), n_bytes).alias("out"), shares)
+    columns = [F.col("id").alias(doc_id), "n_bytes", "out.n_removed", "out.n_spans", "out.kept"]
+    return found.select(*columns, *(["shares_words"] if n_words else []))

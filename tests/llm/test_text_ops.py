@@ -312,6 +312,45 @@ def test_only_repeats_of_the_stated_length_go(spark):
     assert [r["n_removed"] for r in sorted(rows, key=lambda r: r["id"])] == [0, 0, 494, 494, 0, 0, 400, 400, 0]
 
 
+def test_passages_of_other_texts_are_told_by_words(spark):
+    """A passage of over 50 words in two texts is told also where it is too short to be removed; a text's own repeats are not."""
+    dice = random.Random(13)
+
+    def words(n):
+        return " ".join("".join(dice.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+    shared, short, own = words(51), words(50), words(90)
+    texts = [f"{words(30)} {p} {words(30)}" for p in (shared, shared.replace(" ", "\n\t"), short, short)]
+    texts += [f"{own} {words(9)} {own}", words(120), None, "", "x" * 500]
+    df = spark.createDataFrame([*enumerate(texts)], "id long, t string")
+    rows = sorted(suffix_dedup.without_repeats(df, "id", "t", n_words=51).collect(), key=lambda r: r["id"])
+    assert [r["shares_words"] for r in rows] == [True, True, *[False] * 7]
+    assert [r["n_removed"] > 0 for r in rows] == [i in (4, 8) for i in range(9)]
+
+
+def test_shared_words_against_all_passages(spark, monkeypatch):
+    dice = random.Random(14)
+    lines = [" ".join(dice.choice(["a", "bb", "é", "d", "ee"]) for _ in range(dice.randrange(2, 9))) for _ in range(40)]
+    docs = [(i, dice.choice(["", "\x0b", "z\r"]) + " \n".join(dice.choice(lines) for _ in range(dice.randrange(8)))) for i in range(60)]
+    docs += [(3, docs[3][1]), (None, lines[0]), (None, None), (90, " ".join(f"w{i % 7}" for i in range(60)))]
+    df = spark.createDataFrame(docs, "id long, t string")
+    plain = sorted(map(str, suffix_dedup.without_repeats(df, "id", "t", 30).collect()))
+    for n_words, often, together in ((1, 1024, 0), (5, 1, 1024), (12, 1024, 0), (20, 10**9, 1)):
+        monkeypatch.setattr(suffix_dedup, "OFTEN", often)
+        holders = {}
+        cut = [(t or "").encode().split() for _, t in docs]
+        for row, w in enumerate(cut):
+            for i in range(len(w) - n_words + 1):
+                holders.setdefault(tuple(w[i : i + n_words]), set()).add(row)
+        want = [(docs[r][0], any(len(holders[tuple(w[i : i + n_words])]) > 1 for i in range(len(w) - n_words + 1))) for r, w in enumerate(cut)]
+        rows = suffix_dedup.without_repeats(df, "id", "t", 30, together=together, n_words=n_words)
+        assert sorted(map(str, rows.select("id", "shares_words").collect())) == sorted(f"Row(id={k}, shares_words={x})" for k, x in want)
+        assert sorted(map(str, rows.drop("shares_words").collect())) == plain
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 16)
+    for t in (t for _, t in docs if t):
+        assert suffix_dedup.words(t.encode()).tolist() == [xxhash.xxh3_64_intdigest(w) for w in t.encode().split()]
+
+
 def test_quality_on_held_out_rows(spark):
     labels = {r[0]: r[1] for r in small("labels")}
     rows = QUERIES["op5_rule_ensemble"](spark, SMALL).collect()
